@@ -5,6 +5,7 @@ from __future__ import annotations
 import gc
 import os
 import tempfile
+import time
 import zipfile
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -42,9 +43,12 @@ def cut(df: DataFrame) -> DataFrame:
 
 
 def release(spark: SparkSession) -> None:
-    """Let Spark drop shuffle files that no live plan refers to (they go when the JVM collects its garbage)."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    """Let Spark drop shuffle files that no live plan refers to: they go when the JVM has collected its garbage,
+    which takes two rounds, the first for the plans and the second for the shuffles that they held."""
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.7)
 
 
 def remainder(col, n: int):
