@@ -112,7 +112,7 @@ def oracle(table_name: str = "documents") -> str:
     hits = ", ".join("CASE WHEN " + " OR ".join(f"regexp_matches(seq, {quote('(^| )' + pattern(r))})" for r in rules) + f" THEN {quote(name)} END" for name, rules in RULES.items())
     return rf"""
 WITH s AS (SELECT doc_id, list_filter(list_transform(regexp_split_to_array(regexp_replace(regexp_replace(
-    translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{STOP}', chr(10), 'g'), '{OTHER}', ' ', 'g'), '{LINE}'), x -> trim(x)), x -> x <> '') AS ss FROM {table_name}),
-i AS (SELECT doc_id, list_transform(ss, x -> coalesce({known}[x], '?')) AS ids FROM s),
-q AS (SELECT doc_id, len(ids)::BIGINT AS n_sentences, list_filter(ids, x -> x <> '?') AS k, array_to_string(ids, ' ') || ' ' AS seq FROM i)
+    translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{STOP}', chr(10), 'g'), '{OTHER}', ' ', 'g'), '{LINE}'), lambda x: trim(x)), lambda x: x <> '') AS ss FROM {table_name}),
+i AS (SELECT doc_id, list_transform(ss, lambda x: coalesce({known}[x], '?')) AS ids FROM s),
+q AS (SELECT doc_id, len(ids)::BIGINT AS n_sentences, list_filter(ids, lambda x: x <> '?') AS k, array_to_string(ids, ' ') || ' ' AS seq FROM i)
 SELECT doc_id, n_sentences, len(k)::BIGINT AS n_known, array_to_string(k, ' ') AS known, concat_ws(' ', {hits}) AS licences FROM q"""
