@@ -1,4 +1,388 @@
-"""Registered queries over the driver tables, and the SQL each is compared with."""
+"""Registered queries over the driver tables, and the SQL each is compared with.
 
-QUERIES: dict = {}
-ORACLE: dict = {}
+``_same`` registers one statement for both engines; ``_frame`` a DataFrame pipeline and its independent SQL.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+
+from chronolith import model
+from chronolith.functions import intervals as iv, text as tx
+from chronolith.model import AS_OF
+from chronolith.operators import checks, enrich, graph, hierarchy, resolve
+from chronolith.plans import semantic
+from chronolith.sources import documents as sources
+from chronolith.streaming import state
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLE: dict[str, str] = {}
+
+OVERLAP = "(a.e IS NULL OR o.s <= a.e) AND (o.e IS NULL OR a.s <= o.e)"
+
+
+def _as_of():
+    return F.lit("2000-06-30").cast("date")
+
+
+def _same(name: str, text: str) -> None:
+    QUERIES[name] = lambda spark, sf_dir: model.sql(spark, sf_dir, text)
+    ORACLE[name] = model.with_views(text)
+
+
+def _frame(name: str, oracle: str | None = None):
+    def register(f):
+        QUERIES[name] = f
+        if oracle:
+            ORACLE[name] = model.with_views(oracle)
+        return f
+
+    return register
+
+
+def _v(name: str):
+    return lambda spark, sf_dir: model.view(spark, sf_dir, name)
+
+
+# --- scans, filters, paging -------------------------------------------------------------------------------------
+
+_same("s01_page_walk", "SELECT page, count(*) AS n, min(member) AS first_member, max(member) AS last_member FROM (SELECT member, CAST(floor((row_number() OVER (ORDER BY member) - 1) / 100.0) AS BIGINT) AS page FROM members) t GROUP BY page")
+_same("p01_equals", "SELECT bill, kind FROM bills WHERE status = 'F' AND bill_year = 1999")
+_same("p02_not_equals", "SELECT bill FROM bills WHERE status <> 'F' AND kind <> '5-LOW'")
+_same("p03_ranges", "SELECT id, member FROM memberships WHERE s >= DATE '1999-01-01' AND s < DATE '1999-04-01' AND e IS NOT NULL")
+_same("p04_values", "SELECT member, name, code FROM members WHERE member IN (1, 5, 25, 125) OR code IN ('BUILDING')")
+_same("p05_prefix_contains", "SELECT p_partkey, p_name FROM part WHERE p_name LIKE 'red%' OR p_name LIKE '%ring%'")
+_same("p06_exists", "SELECT member FROM members m WHERE EXISTS (SELECT 1 FROM memberships x WHERE x.member = m.member AND x.e IS NULL)")
+_same("p07_ask", "SELECT count(*) > 0 AS answer FROM memberships WHERE member = 1 AND term_no = 3")
+_same("p08_lower_contains", "SELECT s_suppkey, lower(s_name) AS name FROM supplier WHERE lower(s_name) LIKE '%7%'")
+_same("p09_language", "SELECT lang, count(*) AS n, sum(n_chars) AS chars FROM documents WHERE lang IN ('de', 'fr') GROUP BY lang")
+_same("o01_limit_total_order", "SELECT member, name FROM members ORDER BY lower(name), member LIMIT 100")
+_same("o02_offset", "SELECT member, name FROM members ORDER BY member LIMIT 100 OFFSET 20")
+_same("o03_truncated", "SELECT count(*) >= 100 AS truncated FROM (SELECT id FROM memberships WHERE term_no = 2 LIMIT 100) t")
+
+# --- joins ------------------------------------------------------------------------------------------------------
+
+_same("j01_chain", "SELECT m.member, m.name, x.term_no, t.s AS term_start, n_name AS home FROM members m JOIN memberships x ON x.member = m.member JOIN house_terms t ON t.term_no = x.term_no JOIN nation ON n_nationkey = m.home")
+_same("j02_optional_range", "SELECT m.member, x.id, x.s, x.e FROM members m LEFT JOIN memberships x ON x.member = m.member AND x.term_no = 1")
+_same("j03_shared_terms", "SELECT term_no FROM memberships WHERE member = 1 INTERSECT SELECT term_no FROM memberships WHERE member = 4")
+_same("j04_cross_house", "SELECT DISTINCT a.member FROM memberships a JOIN committee_memberships c ON a.member = c.member AND a.id <> c.id WHERE a.s <= DATE '2000-06-30' AND (a.e IS NULL OR DATE '2000-06-30' <= a.e) AND c.s <= DATE '2000-06-30' AND (c.e IS NULL OR DATE '2000-06-30' <= c.e)")
+_same("j05_anchor_constituency", "SELECT DISTINCT o.member, o.term_no, o.constituency FROM memberships a JOIN memberships o ON a.term_no = o.term_no AND a.constituency = o.constituency AND a.member <> o.member WHERE a.member = 1")
+
+
+@_frame("j06_overlap", f"SELECT a.id AS a_id, o.id AS o_id, greatest(a.s, o.s) AS overlap_start FROM memberships a JOIN committee_memberships o ON a.member = o.member WHERE {OVERLAP} AND (a.e IS NULL OR a.s <= a.e) AND (o.e IS NULL OR o.s <= o.e)")
+def _(spark, sf_dir):
+    a, o = _v("memberships")(spark, sf_dir).alias("a"), _v("committee_memberships")(spark, sf_dir).alias("o")
+    c = F.col
+    rows = a.join(o, c("a.member") == c("o.member")).where(iv.overlap(c("a.s"), c("a.e"), c("o.s"), c("o.e")) & iv.certain(c("a.s"), c("a.e")) & iv.certain(c("o.s"), c("o.e")))
+    return rows.select(c("a.id").alias("a_id"), c("o.id").alias("o_id"), F.greatest("a.s", "o.s").alias("overlap_start"))
+
+
+@_frame("j07_before", f"SELECT a.member, b.id AS earlier, a.id AS later FROM memberships a JOIN memberships b ON a.member = b.member AND b.e IS NOT NULL AND b.e < a.s WHERE a.s <= {AS_OF} AND (a.e IS NULL OR {AS_OF} <= a.e)")
+def _(spark, sf_dir):
+    m, c = _v("memberships")(spark, sf_dir), F.col
+    now = m.where(iv.contains(c("s"), c("e"), _as_of())).alias("a")
+    rows = now.join(m.alias("b"), c("a.member") == c("b.member")).where(iv.strictly_before(c("b.e"), c("a.s")))
+    return rows.select(c("a.member").alias("member"), c("b.id").alias("earlier"), c("a.id").alias("later"))
+
+
+@_frame("j08_point_in_interval", f"SELECT id, member, office FROM office_holdings WHERE s <= {AS_OF} AND (e IS NULL OR {AS_OF} <= e)")
+def _(spark, sf_dir):
+    return _v("office_holdings")(spark, sf_dir).where(iv.contains(F.col("s"), F.col("e"), _as_of())).select("id", "member", "office")
+
+
+@_frame("j09_window_overlap", "SELECT id, member, office FROM office_holdings WHERE s < DATE '2000-04-01' AND (e IS NULL OR e >= DATE '2000-03-01')")
+def _(spark, sf_dir):
+    first, last = F.lit("2000-03-01").cast("date"), F.lit("2000-03-31").cast("date")
+    return _v("office_holdings")(spark, sf_dir).where(iv.window_overlap(F.col("s"), F.col("e"), first, last)).select("id", "member", "office")
+
+
+_same("j10_anti_open", "SELECT DISTINCT x.member FROM memberships x WHERE NOT EXISTS (SELECT 1 FROM memberships y WHERE y.member = x.member AND y.e IS NULL)")
+
+
+@_frame("j11_closure_minus", "SELECT l_orderkey AS bill, l_linenumber AS line FROM lineitem WHERE NOT EXISTS (SELECT 1 FROM supplier WHERE s_suppkey = l_suppkey AND s_acctbal > 0)")
+def _(spark, sf_dir):
+    good = model.table(spark, sf_dir, "supplier").where("s_acctbal > 0")
+    rows = checks.unresolved(model.table(spark, sf_dir, "lineitem").select("l_suppkey", "l_orderkey", "l_linenumber"), "l_suppkey", good, "s_suppkey")
+    return rows.select(F.col("l_orderkey").alias("bill"), F.col("l_linenumber").alias("line"))
+
+
+_same("j12_carry_forward", "SELECT coalesce(n.bill, o.bill) AS bill, coalesce(n.status, o.status) AS status, n.bill IS NULL AS carried FROM (SELECT bill, status FROM bills WHERE bill_year <= 1998) o FULL JOIN (SELECT bill, kind AS status FROM bills WHERE bill_year >= 1998) n ON n.bill = o.bill")
+_same("j13_asof_latest_start", "SELECT c.id, c.line, max(m.s) AS last_start FROM committee_memberships c JOIN memberships m ON m.member = c.member AND m.s <= c.s GROUP BY c.id, c.line")
+_same("j14_process_path", "SELECT b.bill, p.sponsor, s_name AS name, b.status FROM bills b JOIN participations p ON p.bill = b.bill JOIN supplier ON s_suppkey = p.sponsor WHERE p.is_primary AND b.bill_year = 2000")
+
+# --- aggregations -----------------------------------------------------------------------------------------------
+
+_same("a01_count_distinct", "SELECT count(DISTINCT member) AS n FROM memberships")
+_same("a02_grouped_distinct", "SELECT term_no, constituency, count(DISTINCT member) AS n FROM memberships GROUP BY term_no, constituency")
+_same("a03_two_distinct", "SELECT count(DISTINCT bill) AS bills, count(DISTINCT sponsor) AS sponsors FROM participations")
+_same("a04_status_counts", "SELECT CASE status WHEN 'P' THEN 'pending' WHEN 'F' THEN 'final' ELSE 'other' END AS label, count(DISTINCT bill) AS n FROM bills GROUP BY status")
+_same("a05_conflicts", "SELECT bill, count(DISTINCT activity_type) AS types, CASE WHEN count(DISTINCT activity_type) > 1 THEN 'conflict' ELSE 'agree' END AS status FROM activities GROUP BY bill")
+_frame("a06_evidence", "SELECT bill, string_agg(DISTINCT activity_type, '; ' ORDER BY activity_type) AS evidence FROM activities GROUP BY bill")(
+    lambda spark, sf_dir: _v("activities")(spark, sf_dir).groupBy("bill").agg(F.array_join(F.array_sort(F.collect_set("activity_type")), "; ").alias("evidence"))
+)
+_ISLANDS = """WITH c AS (SELECT member, s, coalesce(e, DATE '9999-12-31') AS e2 FROM memberships WHERE e IS NULL OR s <= e),
+ r AS (SELECT *, max(e2) OVER (PARTITION BY member ORDER BY s, e2 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM c),
+ k AS (SELECT *, sum(CASE WHEN reach IS NULL OR s - 1 > reach THEN 1 ELSE 0 END) OVER (PARTITION BY member ORDER BY s, e2 ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS k FROM r)
+ SELECT member, min(s) AS s, nullif(max(e2), DATE '9999-12-31') AS e, count(*) AS n FROM k GROUP BY member, k"""
+
+
+@_frame("a07_interval_union", _ISLANDS)
+def _(spark, sf_dir):
+    m = _v("memberships")(spark, sf_dir).where(iv.certain(F.col("s"), F.col("e")))
+    return iv.islands(m, ["member"])
+
+
+@_frame("a08_served_days", f"WITH u AS ({_ISLANDS}) SELECT member, sum(CAST(least(coalesce(e, {AS_OF}), {AS_OF}) - s AS BIGINT) + 1) AS days, count(*) AS spells FROM u WHERE s <= {AS_OF} GROUP BY member")
+def _(spark, sf_dir):
+    m = _v("memberships")(spark, sf_dir).where(iv.certain(F.col("s"), F.col("e")))
+    u = iv.islands(m, ["member"]).where(F.col("s") <= _as_of())
+    days = F.datediff(F.least(F.coalesce("e", _as_of()), _as_of()), "s") + 1
+    return u.groupBy("member").agg(F.sum(days.cast("bigint")).alias("days"), F.count(F.lit(1)).alias("spells"))
+
+
+@_frame("a09_census", "WITH x AS (SELECT c_custkey AS member, lower(trim(c_mktsegment)) AS v, 'code' AS field FROM customer UNION ALL SELECT member, CAST(home AS VARCHAR), 'home' FROM members UNION ALL SELECT o_custkey, lower(trim(o_orderpriority)), 'code' FROM orders UNION ALL SELECT o_custkey, CAST(o_orderkey % 3 AS VARCHAR), 'home' FROM orders) SELECT member, field, count(DISTINCT v) AS n_values, CASE WHEN count(DISTINCT v) > 1 THEN 'conflict' WHEN count(DISTINCT v) = 1 THEN 'agree' ELSE 'insufficient' END AS status FROM x GROUP BY member, field")
+def _(spark, sf_dir):
+    a = _v("members")(spark, sf_dir).select("member", "code", "home")
+    b = model.table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("member"), F.col("o_orderpriority").alias("code"), (F.col("o_orderkey") % 3).alias("home"))
+    return resolve.census([("register", a), ("orders", b)], "member", ["code", "home"])
+
+
+_same("a10_streak", "WITH r AS (SELECT user_id, event_type, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS k FROM events), f AS (SELECT user_id, min(CASE WHEN event_type <> 'error' THEN k END) AS ok, count(*) AS n FROM r GROUP BY user_id) SELECT user_id, CAST(coalesce(ok - 1, n) AS BIGINT) AS streak FROM f")
+_same("a11_percentiles", "WITH r AS (SELECT l_returnflag AS k, l_quantity AS v, row_number() OVER (PARTITION BY l_returnflag ORDER BY l_quantity) AS i, count(*) OVER (PARTITION BY l_returnflag) AS n FROM lineitem) SELECT k, max(CASE WHEN i = CAST(floor(0.25 * (n - 1) + 0.5) AS BIGINT) + 1 THEN v END) AS p25, max(CASE WHEN i = CAST(floor(0.5 * (n - 1) + 0.5) AS BIGINT) + 1 THEN v END) AS p50, max(CASE WHEN i = CAST(floor(0.99 * (n - 1) + 0.5) AS BIGINT) + 1 THEN v END) AS p99, min(v) AS least, max(v) AS most FROM r GROUP BY k")
+_same("a12_metrics", "SELECT sum(CASE WHEN quality = 1 AND toxic = 0 THEN 1 ELSE 0 END) AS hit, sum(CASE WHEN quality = 1 AND toxic = 1 THEN 1 ELSE 0 END) AS false_hit, sum(CASE WHEN quality = 0 AND toxic = 0 THEN 1 ELSE 0 END) AS missed, round(CAST(sum(CASE WHEN quality = 1 AND toxic = 0 THEN 1 ELSE 0 END) AS DOUBLE) / sum(quality), 6) AS score FROM labels")
+_same("a13_rollup", "SELECT term_no, party, count(*) AS n FROM memberships GROUP BY ROLLUP (term_no, party)")
+_same("a14_sponsor_rollup", "SELECT bill, count(DISTINCT sponsor) AS sponsors, sum(CASE WHEN is_primary THEN 1 ELSE 0 END) AS primary_rows, min(sponsor) AS first_sponsor FROM participations GROUP BY bill")
+_same("a15_having", "SELECT member, count(*) AS n FROM memberships GROUP BY member HAVING count(*) >= 5")
+
+# --- analytic ---------------------------------------------------------------------------------------------------
+
+_same("w01_previous_term", f"WITH c AS (SELECT * FROM house_terms WHERE s <= {AS_OF} AND (e IS NULL OR {AS_OF} <= e)) SELECT t.term_no, t.s, t.e FROM house_terms t JOIN c ON t.s < c.s WHERE t.e IS NOT NULL AND t.s = (SELECT max(x.s) FROM house_terms x JOIN c ON x.s < c.s)")
+
+
+@_frame("w02_current_term", f"SELECT member, id, CASE WHEN count(*) OVER (PARTITION BY member) = 1 THEN 'resolved' ELSE 'ambiguous' END AS status FROM memberships WHERE s <= {AS_OF} AND (e IS NULL OR {AS_OF} <= e)")
+def _(spark, sf_dir):
+    return iv.current(_v("memberships")(spark, sf_dir), ["member"], _as_of()).select("member", "id", "status")
+
+
+@_frame("w03_latest_recorded", """WITH r AS (SELECT *, max(s) OVER (PARTITION BY member) AS top, count(*) OVER (PARTITION BY member, s) AS same FROM memberships)
+ SELECT member, id, s FROM r WHERE s = top AND same = 1 AND NOT EXISTS (SELECT 1 FROM memberships b WHERE b.member = r.member AND b.s < r.s AND (b.e IS NULL OR b.e >= r.s))""")
+def _(spark, sf_dir):
+    return iv.latest_recorded(_v("memberships")(spark, sf_dir), ["member"]).select("member", "id", "s")
+
+
+_same("w04_first_entry", "SELECT member, id, s FROM (SELECT member, id, s, row_number() OVER (PARTITION BY member ORDER BY s, id) AS k FROM memberships) t WHERE k = 1")
+_same("w05_ordinals", "SELECT record, ordinal, kind, CAST(row_number() OVER (PARTITION BY record ORDER BY ordinal) AS BIGINT) AS place FROM components")
+_same("w06_top_k", "SELECT member, committee, CAST(k AS BIGINT) AS k FROM (SELECT member, committee, row_number() OVER (PARTITION BY member ORDER BY n DESC, committee) AS k FROM (SELECT member, committee, count(*) AS n FROM committee_memberships GROUP BY member, committee) c) t WHERE k <= 5")
+_same("w07_hash_sample", "SELECT source, doc_id FROM (SELECT source, doc_id, row_number() OVER (PARTITION BY source ORDER BY sha256(concat('seed', CAST(doc_id AS STRING))), doc_id) AS k FROM documents) t WHERE k <= 3")
+
+
+@_frame("w08_bad_chronology", "SELECT member, id FROM (SELECT member, id, s, e, lead(s) OVER (PARTITION BY member ORDER BY s, id) AS nx FROM memberships) t WHERE nx IS NOT NULL AND (e IS NULL OR nx <= e)")
+def _(spark, sf_dir):
+    following = F.lead("s").over(Window.partitionBy("member").orderBy("s", "id"))
+    m = _v("memberships")(spark, sf_dir).withColumn("nx", following)
+    return m.where(F.col("nx").isNotNull() & (F.col("e").isNull() | (F.col("nx") <= F.col("e")))).select("member", "id")
+
+
+# --- sets -------------------------------------------------------------------------------------------------------
+
+_same("u01_union_tag", "SELECT member, 'committee' AS kind, count(*) AS n FROM committee_memberships GROUP BY member UNION ALL SELECT member, 'office' AS kind, count(*) AS n FROM office_holdings GROUP BY member")
+_same("u02_intersect", "SELECT member FROM committee_memberships INTERSECT SELECT member FROM office_holdings")
+_same("u03_except", "SELECT member FROM members EXCEPT SELECT member FROM memberships WHERE party = '1-URGENT'")
+
+
+@_frame("u04_differences", "WITH a AS (SELECT DISTINCT member, term_no FROM memberships WHERE party = '1-URGENT'), b AS (SELECT DISTINCT member, term_no FROM memberships WHERE party = '2-HIGH') SELECT *, 'left' AS side FROM (SELECT * FROM a EXCEPT SELECT * FROM b) x UNION ALL SELECT *, 'right' AS side FROM (SELECT * FROM b EXCEPT SELECT * FROM a) y")
+def _(spark, sf_dir):
+    m = _v("memberships")(spark, sf_dir)
+    one = lambda p: m.where(F.col("party") == p).select("member", "term_no")
+    return graph.differences(one("1-URGENT"), one("2-HIGH"))
+
+
+# --- scalar functions -------------------------------------------------------------------------------------------
+
+_frame("f01_label", "SELECT s_suppkey, nfc_normalize(lower(trim(regexp_replace(s_name, '\\s+', ' ', 'g')))) AS label FROM supplier")(
+    lambda spark, sf_dir: model.table(spark, sf_dir, "supplier").select("s_suppkey", tx.nfc_casefold(tx.label(F.col("s_name"))).alias("label"))
+)
+_frame("f02_tokens", "SELECT p_partkey, array_to_string(list_sort(list_filter(list_distinct(regexp_extract_all(lower(p_name), '[a-z0-9]+')), lambda x: x NOT IN ('the', 'a', 'an', 'bill', 'of', 'for', 'and'))), ' ') AS tokens FROM part")(
+    lambda spark, sf_dir: model.table(spark, sf_dir, "part").select("p_partkey", F.array_join(F.array_sort(tx.title_tokens(F.col("p_name"))), " ").alias("tokens"))
+)
+_frame("f03_hash", "SELECT c_custkey, sha256(concat(c_name, '|', c_mktsegment)) AS h FROM customer")(
+    lambda spark, sf_dir: model.table(spark, sf_dir, "customer").select("c_custkey", F.sha2(F.concat("c_name", F.lit("|"), "c_mktsegment"), 256).alias("h"))
+)
+_same("f04_dates", "SELECT id, CAST(year(s) AS BIGINT) AS y, CAST(month(s) AS BIGINT) AS m, last_day(s) AS month_end, CAST(e - s AS BIGINT) + 1 AS days FROM memberships WHERE e IS NOT NULL".replace("CAST(e - s AS BIGINT)", "CAST(date_diff('day', s, e) AS BIGINT)"))
+QUERIES["f04_dates"] = lambda spark, sf_dir: _v("memberships")(spark, sf_dir).where("e IS NOT NULL").select("id", F.year("s").cast("bigint").alias("y"), F.month("s").cast("bigint").alias("m"), F.last_day("s").alias("month_end"), (F.datediff("e", "s") + 1).cast("bigint").alias("days"))
+_frame("f05_json", "SELECT event_id, TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events")(
+    lambda spark, sf_dir: model.table(spark, sf_dir, "events").select("event_id", F.get_json_object("props", "$.k").try_cast("bigint").alias("k"))
+)
+_frame("f06_cosine", "SELECT a.vec_id, round(list_cosine_similarity(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])), 6) AS sim FROM embeddings a, embeddings b WHERE b.vec_id = 0")(
+    lambda spark, sf_dir: (lambda e: e.alias("a").crossJoin(F.broadcast(e.where("vec_id = 0").limit(1).alias("b"))).select("a.vec_id", F.round(enrich.cosine(F.col("a.embedding"), F.col("b.embedding")), 6).alias("sim")))(model.table(spark, sf_dir, "embeddings"))
+)
+_frame("f07_chunks", r"WITH w AS (SELECT doc_id, list_filter(regexp_split_to_array(text, '\s+'), lambda x: x <> '') AS w FROM documents) SELECT doc_id, CAST(ceil(len(w) / 180.0) AS BIGINT) AS n_chunks FROM w")(
+    lambda spark, sf_dir: model.table(spark, sf_dir, "documents").select("doc_id", F.size(tx.chunks(F.col("text"))).cast("bigint").alias("n_chunks"))
+)
+
+# --- resolution, reconciliation, hierarchy, enrichment -------------------------------------------------------------
+
+
+@_frame("e01_exact_resolve", "WITH c AS (SELECT lower(c_mktsegment) AS l, min(c_custkey) AS member, count(DISTINCT c_custkey) AS n FROM customer GROUP BY 1), m AS (SELECT o_orderkey, lower(CASE WHEN o_orderkey % 2 = 0 THEN 'Building' ELSE o_orderpriority END) AS l FROM orders) SELECT o_orderkey, CASE WHEN coalesce(n, 0) >= 100 THEN 'refused' WHEN n > 1 THEN 'ambiguous' WHEN n = 1 THEN 'resolved' ELSE 'unresolved' END AS status, CASE WHEN n = 1 THEN member END AS member FROM m LEFT JOIN c ON m.l = c.l")
+def _(spark, sf_dir):
+    mentions = model.table(spark, sf_dir, "orders").withColumn("said", F.when(F.col("o_orderkey") % 2 == 0, "Building").otherwise(F.col("o_orderpriority")))
+    return resolve.exact(mentions, _v("members")(spark, sf_dir), tx.label(F.col("said")), tx.label(F.col("code")), ["o_orderkey"], "member").drop("candidates")
+
+
+_same("e02_context", "SELECT a.member, a.term_no, CASE WHEN count(DISTINCT a.constituency) = 1 THEN 'resolved' ELSE 'ambiguous' END AS status FROM memberships a GROUP BY a.member, a.term_no")
+_same("r01_candidates", f"SELECT h.id, count(DISTINCT c.committee) AS candidates, CASE WHEN count(DISTINCT c.committee) = 1 THEN 'accepted' WHEN count(DISTINCT c.committee) > 1 THEN 'ambiguous' ELSE 'pending' END AS state FROM office_holdings h LEFT JOIN committee_memberships c ON c.member = h.member AND c.s <= h.s AND (c.e IS NULL OR h.s <= c.e) WHERE h.s <= {AS_OF} GROUP BY h.id")
+_same("r02_ledger", "SELECT n.bill, CASE WHEN o.bill IS NULL THEN 'new' WHEN o.status <> n.status THEN 'changed' ELSE 'retained' END AS state FROM (SELECT bill, kind AS status FROM bills) n LEFT JOIN (SELECT bill, kind AS status FROM bills WHERE bill_year < 2000) o ON o.bill = n.bill")
+
+
+@_frame("h01_paths", "WITH RECURSIVE p AS (SELECT record, ordinal AS node, ordinal AS ancestor, 0 AS depth FROM components UNION ALL SELECT p.record, p.node, c.container, p.depth + 1 FROM p JOIN components c ON c.record = p.record AND c.ordinal = p.ancestor WHERE c.container IS NOT NULL) SELECT record, max(depth) AS depth, count(*) AS n FROM p GROUP BY record")
+def _(spark, sf_dir):
+    c = _v("components")(spark, sf_dir).select("record", "ordinal", "container")
+    node = lambda x: F.struct("record", F.col(x).alias("o"))
+    out = hierarchy.closure(c.where("container IS NOT NULL").select(node("ordinal").alias("child"), node("container").alias("parent")), c.select(node("ordinal")))
+    return out.groupBy(F.col("node.record").alias("record")).agg(F.max("depth").alias("depth"), F.count(F.lit(1)).alias("n"))
+
+
+@_frame("h02_broader_star", "WITH RECURSIVE p AS (SELECT concept, concept AS ancestor FROM concepts UNION ALL SELECT p.concept, c.broader FROM p JOIN concepts c ON c.concept = p.ancestor WHERE c.broader IS NOT NULL) SELECT ancestor AS concept, count(DISTINCT concept) AS narrower FROM p GROUP BY ancestor")
+def _(spark, sf_dir):
+    c = _v("concepts")(spark, sf_dir)
+    out = hierarchy.closure(c.select(F.col("concept").alias("child"), F.col("broader").alias("parent")), c.select("concept"))
+    return out.groupBy(F.col("ancestor").alias("concept")).agg(F.countDistinct("node").alias("narrower"))
+
+
+@_frame("h03_phrase", r"""WITH c AS (SELECT DISTINCT concept, array_to_string(regexp_extract_all(label, '[\p{L}\p{N}]+'), ' ') AS phrase, len(regexp_extract_all(label, '[\p{L}\p{N}]+')) AS words FROM concepts),
+ k AS (SELECT * FROM c WHERE words > 1 OR (words = 1 AND length(phrase) >= 7)),
+ d AS (SELECT doc_id, ' ' || array_to_string(regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+'), ' ') || ' ' AS t FROM documents),
+ h AS (SELECT doc_id AS doc, concept, max(words * 100000 + length(phrase)) AS x FROM d JOIN k ON contains(t, ' ' || phrase || ' ') GROUP BY doc_id, concept),
+ r AS (SELECT doc, concept, row_number() OVER (PARTITION BY doc ORDER BY x DESC, concept) AS rank FROM h) SELECT doc, concept, rank FROM r WHERE rank <= 5""")
+def _(spark, sf_dir):
+    out = enrich.phrases(model.table(spark, sf_dir, "documents"), _v("concepts")(spark, sf_dir), "doc_id", "text", "concept", "label")
+    return out.select("doc", "concept", F.col("rank").cast("bigint").alias("rank"))
+
+
+_same("h04_split_leaks", "SELECT member FROM (SELECT member, term_no % 2 AS split FROM memberships) t GROUP BY member HAVING count(DISTINCT split) > 1")
+
+# --- validation -------------------------------------------------------------------------------------------------
+
+
+@_frame("v01_cardinality", "SELECT member, term_no, count(DISTINCT constituency) AS n FROM memberships GROUP BY member, term_no HAVING count(DISTINCT constituency) <> 1")
+def _(spark, sf_dir):
+    return checks.cardinality(_v("memberships")(spark, sf_dir), ["member", "term_no"], "constituency")
+
+
+@_frame("v02_exclusive", "SELECT member, committee, s, count(*) AS n FROM committee_memberships GROUP BY member, committee, s HAVING count(*) > 1")
+def _(spark, sf_dir):
+    return checks.exclusive(_v("committee_memberships")(spark, sf_dir), ["member", "committee", "s"])
+
+
+@_frame("v03_ordinals", "SELECT record, ordinal FROM (SELECT record, ordinal, row_number() OVER (PARTITION BY record ORDER BY ordinal) AS k FROM components) t WHERE k <> ordinal")
+def _(spark, sf_dir):
+    return checks.broken_ordinals(_v("components")(spark, sf_dir), ["record"], "ordinal").select("record", "ordinal")
+
+
+@_frame("v04_contract", "SELECT * FROM (SELECT 'o_orderstatus' AS field, 'choice' AS rule, count(*) FILTER (WHERE o_orderstatus NOT IN ('P', 'F')) AS n FROM orders UNION ALL SELECT 'o_custkey', 'required', count(*) FILTER (WHERE o_custkey IS NULL) FROM orders) t WHERE n > 0")
+def _(spark, sf_dir):
+    return checks.contract(model.table(spark, sf_dir, "orders"), ["o_custkey"], {"o_orderstatus": ["P", "F"]})
+
+
+_same("v05_uncertain", "SELECT id FROM memberships WHERE s IS NULL OR ps IS NULL OR pe < ps OR e < s")
+
+# --- incremental state, streams -----------------------------------------------------------------------------------
+
+
+@_frame("x01_cursor", "SELECT event_id FROM events WHERE ts >= TIMESTAMP '2024-01-10 00:00:00' - INTERVAL 1 HOUR AND ts <= TIMESTAMP '2024-01-12 00:00:00'")
+def _(spark, sf_dir):
+    at = lambda x: F.lit(x).cast("timestamp_ntz")
+    e = model.table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    return e.where((F.col("ts") >= at("2024-01-10 00:00:00") - F.expr("INTERVAL 1 HOUR")) & (F.col("ts") <= at("2024-01-12 00:00:00"))).select("event_id")
+
+
+@_frame("x02_newest", "SELECT resource, hash FROM (SELECT resource, hash, row_number() OVER (PARTITION BY resource ORDER BY observed_at DESC, hash DESC) AS k FROM observations) t WHERE k = 1")
+def _(spark, sf_dir):
+    return state.newest(_v("observations")(spark, sf_dir)).select("resource", "hash")
+
+
+@_frame("x03_two_scan_absence", """WITH a AS (SELECT DISTINCT resource FROM observations WHERE kind = 'view'), b AS (SELECT DISTINCT resource FROM observations WHERE kind = 'signup' AND value < 20), c AS (SELECT DISTINCT resource FROM observations WHERE kind = 'error' AND value < 20),
+ r AS (SELECT resource FROM a UNION SELECT resource FROM b UNION SELECT resource FROM c)
+ SELECT r.resource, CASE WHEN c.resource IS NOT NULL THEN 'present' WHEN b.resource IS NOT NULL THEN 'missing' ELSE 'confirmed_missing' END AS presence FROM r LEFT JOIN b ON b.resource = r.resource LEFT JOIN c ON c.resource = r.resource""")
+def _(spark, sf_dir):
+    o, scan = _v("observations")(spark, sf_dir), None
+    for kind in ("kind = 'view'", "kind = 'signup' AND value < 20", "kind = 'error' AND value < 20"):
+        scan = state.observe(scan, o.where(kind), complete=True)
+    return scan.select("resource", "presence")
+
+
+_same("x04_changed", "SELECT n.resource FROM (SELECT DISTINCT resource, hash FROM observations WHERE kind = 'view') n WHERE NOT EXISTS (SELECT 1 FROM observations o WHERE o.kind = 'click' AND o.resource = n.resource AND o.hash = n.hash)")
+_frame("x05_windows", "SELECT time_bucket(INTERVAL 1 DAY, ts) AS day, event_type, count(*) AS n FROM events GROUP BY ALL")(
+    lambda spark, sf_dir: model.table(spark, sf_dir, "events").groupBy(F.window("ts", "1 day").alias("w"), "event_type").agg(F.count(F.lit(1)).alias("n")).select(F.col("w.start").alias("day"), "event_type", "n")
+)
+
+# --- question families and views ----------------------------------------------------------------------------------
+
+
+@_frame("q26_member_party_overlap", """SELECT DISTINCT o.member, c_name AS name, o.term_no, o.constituency, greatest(a.s, o.s, a.ps, o.ps) AS overlap_start
+ FROM memberships a JOIN memberships o ON a.term_no = o.term_no AND a.constituency = o.constituency AND a.party = o.party AND a.member <> o.member JOIN customer ON c_custkey = o.member
+ WHERE a.member IN (1, 2, 3, 4, 5) AND greatest(a.s, o.s, a.ps, o.ps) <= least(coalesce(a.e, DATE '9999-12-31'), coalesce(o.e, DATE '9999-12-31'), coalesce(a.pe, DATE '9999-12-31'), coalesce(o.pe, DATE '9999-12-31'))""")
+def _(spark, sf_dir):
+    m, c = _v("memberships")(spark, sf_dir), F.col
+    m = m.where(iv.certain(c("s"), c("e")))
+    a, o = m.where(c("member").isin(1, 2, 3, 4, 5)).alias("a"), m.alias("o")
+    start, end = iv.intersection([(c(f"{x}.{s}"), c(f"{x}.{e}")) for x in "ao" for s, e in (("s", "e"), ("ps", "pe"))])
+    rows = a.join(o, (c("a.term_no") == c("o.term_no")) & (c("a.constituency") == c("o.constituency")) & (c("a.party") == c("o.party")) & (c("a.member") != c("o.member")))
+    rows = rows.where(end.isNull() | (start <= end)).select(c("o.member").alias("member"), c("o.term_no").alias("term_no"), c("o.constituency").alias("constituency"), start.alias("overlap_start")).distinct()
+    return rows.join(_v("members")(spark, sf_dir).select("member", "name"), "member").select("member", "name", "term_no", "constituency", "overlap_start")
+
+
+_same("q01_member_lookup", "SELECT member, name, code FROM members WHERE lower(name) LIKE '%000000012%'")
+_same("q05_term_count", "SELECT member, count(DISTINCT term_no) AS n FROM memberships GROUP BY member")
+_same("q06_house_terms", "SELECT term_no, s, e FROM house_terms WHERE s < DATE '1998-07-01' AND (e IS NULL OR e >= DATE '1998-06-01')")
+_same("q07_current_party", f"SELECT member, party FROM memberships WHERE s <= {AS_OF} AND (e IS NULL OR {AS_OF} <= e) AND ps <= {AS_OF} AND (pe IS NULL OR {AS_OF} <= pe) AND party <> '5-LOW'")
+_same("q09_committee_count", "SELECT member, count(DISTINCT committee) AS n FROM committee_memberships GROUP BY member")
+_same("q11_bills_published", "SELECT DISTINCT b.bill, b.status FROM bills b JOIN activities a ON a.bill = b.bill WHERE a.activity_type = 'R' AND a.activity_date >= DATE '1999-01-01' AND a.activity_date <= DATE '1999-12-31'")
+_same("q12_non_enacted", "SELECT bill, status FROM bills WHERE bill_year = 1997 AND status <> 'F'")
+_same("q14_status_history", "SELECT b.bill, b.status, a.stage_no, a.activity_date FROM bills b JOIN activities a ON a.bill = b.bill WHERE b.bill <= 500")
+_same("q16_sponsored", "SELECT p.sponsor, count(DISTINCT p.bill) AS n FROM participations p JOIN bills b ON b.bill = p.bill WHERE b.bill_year = 1998 GROUP BY p.sponsor")
+_same("q19_parties_in_term", "SELECT DISTINCT party FROM memberships WHERE term_no = 4")
+_same("q22_party_history", "SELECT member, party, min(ps) AS first_start, count(*) AS episodes FROM memberships GROUP BY member, party")
+_same("q31_government_party", f"SELECT DISTINCT h.member, h.office, m.party FROM office_holdings h JOIN memberships m ON m.member = h.member JOIN house_terms t ON t.term_no = m.term_no WHERE h.cabinet AND h.s <= {AS_OF} AND (h.e IS NULL OR {AS_OF} <= h.e) AND m.s <= {AS_OF} AND (m.e IS NULL OR {AS_OF} <= m.e) AND m.ps <= {AS_OF} AND (m.pe IS NULL OR {AS_OF} <= m.pe)")
+_same("q32_current_roster", f"SELECT committee, member, s FROM committee_memberships WHERE committee <= 20 AND s <= {AS_OF} AND (e IS NULL OR {AS_OF} <= e)")
+_same("q33_office_constituency", f"SELECT h.office, h.member, m.constituency FROM office_holdings h JOIN memberships m ON m.member = h.member WHERE h.s <= {AS_OF} AND (h.e IS NULL OR {AS_OF} <= h.e) AND m.s <= {AS_OF} AND (m.e IS NULL OR {AS_OF} <= m.e)")
+
+
+@_frame("q34_plan_grouped", f"SELECT party, count(DISTINCT member) AS n FROM (SELECT DISTINCT m.member, m.party FROM memberships m JOIN committee_memberships c ON c.member = m.member WHERE m.s <= {AS_OF} AND (m.e IS NULL OR {AS_OF} <= m.e) AND c.s <= {AS_OF} AND (c.e IS NULL OR {AS_OF} <= c.e) AND c.committee <= 10) t GROUP BY party")
+def _(spark, sf_dir):
+    r = semantic.Requirement
+    plan = semantic.Plan((r("member_party", "member", "party"), r("member_committee", "member", "committee")), "grouped_result", "member", (semantic.Filter("committee", "le", 10),), "2000-06-30", ("party",))
+    return semantic.compile_plan(spark, sf_dir, plan)
+
+
+_same("c01_open_terms", "SELECT term_no, s FROM house_terms WHERE e IS NULL")
+_same("c06_open_members", "SELECT DISTINCT member FROM memberships WHERE e IS NULL")
+_same("c08_all_of_member", "SELECT id, term_no, s, e FROM memberships WHERE member = 7")
+_same("c15_ordered_stages", "SELECT bill, stage_no, activity_type, activity_date FROM activities WHERE bill <= 200")
+_same("c19_children", "SELECT record, container, ordinal, kind FROM components WHERE container = 1")
+_same("c20_speeches_questions", "SELECT record, ordinal, 'question' AS kind FROM components WHERE kind = 'user' UNION ALL SELECT record, ordinal, 'speech' AS kind FROM components WHERE kind = 'assistant'")
+_same("c28_constituency_members", "SELECT DISTINCT constituency, term_no, member FROM memberships WHERE constituency IN (1, 2)")
+_frame("c33_page_links", """SELECT page_id, count(*) AS n FROM (SELECT page_id, unnest(regexp_extract_all(html, 'href="([^"]*)"', 1)) AS href FROM pages) t GROUP BY page_id""")(
+    lambda spark, sf_dir: sources.links(model.table(spark, sf_dir, "pages")).groupBy("page_id").agg(F.count(F.lit(1)).alias("n"))
+)
+
+
+def _quads(spark, sf_dir):
+    m = _v("memberships")(spark, sf_dir)
+    a = graph.quads(m, "member", F.concat(F.lit("urn:x:member/"), F.col("member").cast("string")), F.concat(F.lit("urn:x:m/"), F.col("id").cast("string")), {"term_no": "term", "constituency": "constituency", "party": "party", "s": "start", "e": "end"})
+    b = _v("bills")(spark, sf_dir)
+    g = F.concat(F.lit("urn:x:bill/"), F.col("bill").cast("string"))
+    return graph.union([a, graph.quads(b, "bill", g, g, {"status": "status", "bill_year": "year"})])
+
+
+@_frame("g01_quad_counts", "SELECT 'member' AS family, count(DISTINCT member) AS graphs, sum(4 + CASE WHEN e IS NULL THEN 0 ELSE 1 END) AS triples FROM memberships UNION ALL SELECT 'bill', count(DISTINCT bill), 2 * count(*) FROM bills")
+def _(spark, sf_dir):
+    per = _quads(spark, sf_dir).groupBy("family", "g").agg(F.count(F.lit(1)).alias("n"))
+    return per.groupBy("family").agg(F.count(F.lit(1)).alias("graphs"), F.sum("n").alias("triples"))
+
+
+@_frame("g02_graph_hashes", """SELECT 'urn:x:bill/' || bill AS g, 2::BIGINT AS n, sha256('<urn:x:bill/' || bill || '> <urn:x:status> "' || status || '" .' || chr(10) || '<urn:x:bill/' || bill || '> <urn:x:year> "' || bill_year || '"^^<int> .') AS hash FROM bills""")
+def _(spark, sf_dir):
+    return graph.graph_hashes(_quads(spark, sf_dir).where("family = 'bill'"))
