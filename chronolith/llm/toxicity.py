@@ -11,7 +11,7 @@ dropped at random in each step. A held-back fifth of the sample then gives each
 Scores come from the words alone. At scoring, embeddings and filters are multiplied out beforehand, so a word
 costs six table rows.
 
-Null and empty texts have no words: their score is that of two blanks. Repeated rows get the same score. A document
+Null and empty texts have no words: their score is that of blanks. Repeated rows get the same score. A document
 that is labelled twice counts as toxic if any label says so. With labels of one kind or none the score is that rate
 (0 without labels) for every text.
 """
@@ -37,11 +37,11 @@ def buckets(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def padded(idx: np.ndarray, doc: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Rows of words with two blanks after each text, and where each text begins (n + 1 places)."""
-    at = bt.runs(doc, n)
-    begin = at + 2 * np.arange(n + 1)
+    """Rows of words with blanks for a widest filter after each text, and where each text begins (n + 1 places)."""
+    at, blanks = bt.runs(doc, n), max(WIDTHS)
+    begin = at + blanks * np.arange(n + 1)
     out = np.full(begin[-1], BLANK, np.int64)
-    out[np.arange(len(idx)) + 2 * doc] = idx
+    out[np.arange(len(idx)) + blanks * doc] = idx
     return out, begin
 
 
