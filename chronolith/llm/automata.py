@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from . import bytetext as bt
-from .common import cut, release, ship
+from .common import cut, cut_packed, drop, release, ship
 
 GRAM = 7
 HOT = 1000
@@ -170,7 +170,8 @@ def repeated_windows(docs: DataFrame, width: int = 13) -> DataFrame:
     marks = _occurrences(docs, width, True).join(recurring, "h").groupBy("id").agg(F.collect_set(F.struct("h", "place", "hot")).alias("marks"))
     marks = cut(marks)
     release(spark)
-    segments = cut(_segments(docs, marks, width))
+    segments, path = cut_packed(_segments(docs, marks, width))
+    del seen, recurring, marks  # and their files with them
     release(spark)
     folded = segments.groupBy("key", "seg").agg(F.min("id").alias("lo"), F.max("id").alias("hi"))
 
@@ -195,7 +196,9 @@ def repeated_windows(docs: DataFrame, width: int = 13) -> DataFrame:
     found = found.select("key", F.xxhash64("seg").alias("sh"), F.arrays_zip("places", "firsts").alias("hits"))
     rows = segments.select("key", F.xxhash64("seg").alias("sh"), "id", "at").join(found, ["key", "sh"])
     later = rows.select("id", F.transform(F.filter("hits", lambda x: x["firsts"] < F.col("id")), lambda x: x["places"] + F.col("at")).alias("s")).where(F.size("s") > 0)
-    return cut(later.groupBy("id").agg(F.array_distinct(F.flatten(F.collect_list("s"))).alias("starts")))
+    out = cut(later.groupBy("id").agg(F.array_distinct(F.flatten(F.collect_list("s"))).alias("starts")))
+    drop(spark, path)
+    return out
 
 
 def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 13, keep: list[str] | None = None, digest: bool = False) -> DataFrame:

@@ -6,6 +6,7 @@ import gc
 import os
 import tempfile
 import time
+import uuid
 import zipfile
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -34,14 +35,32 @@ def ship(spark: SparkSession) -> None:
     _shipped[sc.applicationId] = True
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and go on from there: lost executors lose nothing."""
-    sc = df.sparkSession.sparkContext
+def _folder(spark: SparkSession) -> str:
+    sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
         sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="checkpoints-"))
+    return sc._jsc.sc().getCheckpointDir().get()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the shared checkpoint folder and go on from there: lost executors lose nothing."""
+    _folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
+def cut_packed(df: DataFrame) -> tuple[DataFrame, str]:
+    """As ``cut``, but as a compressed table, for rows of long strings; the caller drops its folder when done."""
+    spark = df.sparkSession
+    path = f"{_folder(spark)}/table-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def drop(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def release(spark: SparkSession) -> None:
     """Let Spark drop shuffle files that no live plan refers to: they go when the JVM has collected its garbage,
     which takes two rounds, the first for the plans and the second for the shuffles that they held."""
