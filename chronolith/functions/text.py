@@ -6,12 +6,13 @@ import unicodedata
 
 import pandas as pd
 from pyspark.sql import Column, functions as F
+from pyspark.sql.types import StringType
 
 #: Words that a title's tokens leave out.
 TITLE_STOP = "the a an bill of for and".split()
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def nfc_casefold(x: pd.Series) -> pd.Series:
     """NFC, then case folding, diacritics kept. Spark has no built-in for either."""
     return x.map(lambda v: None if v is None else unicodedata.normalize("NFC", v).casefold())
