@@ -168,9 +168,10 @@ def repeated_windows(docs: DataFrame, width: int = 13) -> DataFrame:
     recurring = cut(seen.where("lo < hi").select("h", (F.col("n") > HOT).alias("hot")))
     release(spark)
     marks = _occurrences(docs, width, True).join(recurring, "h").groupBy("id").agg(F.collect_set(F.struct("h", "place", "hot")).alias("marks"))
-    marks = cut(marks)
+    marks, marks_path = cut_packed(marks)
     release(spark)
     segments, path = cut_packed(_segments(docs, marks, width))
+    drop(spark, marks_path)
     del seen, recurring, marks  # and their files with them
     release(spark)
     folded = segments.groupBy("key", "seg").agg(F.min("id").alias("lo"), F.max("id").alias("hi"))
