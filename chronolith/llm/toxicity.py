@@ -5,8 +5,7 @@ buckets that ``min_docs`` or more sampled documents have get an embedding each (
 documents); all others share one. Filters of widths 1, 2 and 3 slide over the embedded words, a text keeps each
 filter's maximum over all its places, and a logistic layer makes the score of these. Training: Adam on a sample of
 at most ``max_labelled`` labelled documents, half of them toxic at most, weighted back to the rate
-of all labels, from embeddings whose first number is how the word leans in the sample; a fifth of the words is
-dropped at random in each step. A held-back fifth of the sample then gives each language the threshold of its best F1.
+of all labels, from embeddings whose first number is how the word leans in the sample. A held-back fifth of the sample then gives each language the threshold of its best F1.
 
 Scores come from the words alone. At scoring, embeddings and filters are multiplied out beforehand, so a word
 costs six table rows.
@@ -120,7 +119,7 @@ def leanings(texts: list[np.ndarray], y: np.ndarray, rows: int) -> np.ndarray:
     return (odds[1] - odds[0]) / np.sqrt((1 / (docs + 0.5)).sum(0))
 
 
-def fit(texts: list[np.ndarray], y: np.ndarray, weight: np.ndarray, rows: int, epochs: int, seed: int, batch: int = 32, min_steps: int = 600, drop: float = 0.2) -> Network:
+def fit(texts: list[np.ndarray], y: np.ndarray, weight: np.ndarray, rows: int, epochs: int, seed: int, batch: int = 32, min_steps: int = 600) -> Network:
     net, r = Network(rows, seed), np.random.Generator(np.random.PCG64(seed + 1))
     per_epoch = -(-len(y) // batch)
     epochs = max(epochs, -(-min_steps // per_epoch))
@@ -133,7 +132,6 @@ def fit(texts: list[np.ndarray], y: np.ndarray, weight: np.ndarray, rows: int, e
             part = order[k : k + batch]
             doc = np.repeat(np.arange(len(part)), [len(texts[i]) for i in part])
             words = np.concatenate([texts[i] for i in part])
-            words = np.where(r.random(len(words)) < drop, RARE, words)
             idx, begin = padded(words, doc, len(part))
             net.step(idx, begin, y[part], weight[part], 0.01 * (1 - 0.9 * done / steps))
             done += 1
