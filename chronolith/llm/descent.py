@@ -7,9 +7,10 @@ and pass each other on, until few lists change. Edges at or above the threshold
 
 A list that is full of links is saturated: it may have more to hold. Lists of a linked group are therefore enlarged
 to all that their links reach: the group's members meet block by block, where links are counted, never listed.
+Links between groups with more members than a list holds are sought exactly, as full lists may lack them all.
 
 Recall is audited against brute force for a fixed number of seeded vectors; below ``min_recall`` the search goes on
-with new hyperplanes, its links added to those found.
+with new hyperplanes, its links added to those found, and fails when ``max_rounds`` don't reach it.
 
 Null and zero vectors and those with null or non-finite components, or of another length than most, link with
 nothing. Rows of one id are one vertex; its smallest distinct vector counts. Rows with a null id come back unlinked.
@@ -163,39 +164,20 @@ def exact(pairs: DataFrame, reps: DataFrame, threshold: float) -> DataFrame:
     return full.select("a", "b", "va", "vb").mapInArrow(work, f"a {kind}, b {kind}")
 
 
-def group_links(members: DataFrame, threshold: float) -> DataFrame:
-    """Rows (id, n_links) from rows (component, id, v, n), all members of a linked group against all, block by block.
-
-    Each row travels once for every block of its group that it meets, and comes back as one count for each.
-    """
-    kind = dict(members.dtypes)["id"]
-    sizes = members.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-    m = members.join(sizes, "component").withColumn("mine", F.pmod(F.xxhash64("id"), "blocks").cast("int"))
+def _blocks(members: DataFrame, key: list[str], cols: list[str]) -> DataFrame:
+    """Rows (g, left, own, cols) from rows with columns key, id, cols: all rows of a key in blocks of BLOCK, g a meeting of two blocks."""
+    sizes = members.groupBy(*key).agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    m = members.join(sizes, key) if key else members.crossJoin(F.broadcast(sizes))
+    m = m.withColumn("mine", F.pmod(F.xxhash64("id"), "blocks").cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("o")
-    rows = m.select("component", "mine", other, "id", "v", "n")
-    rows = rows.select(F.xxhash64("component", F.least("mine", "o"), F.greatest("mine", "o")).alias("g"), (F.col("mine") <= F.col("o")).alias("left"), (F.col("mine") == F.col("o")).alias("own"), "id", "v", "n")
-
-    def count(batches):
-        key, held = None, []
-
-        def out():
-            b = pa.Table.from_batches(held).combine_chunks()
-            x, n = _matrix(b.column("v").combine_chunks()), np.asarray(b.column("n")).astype(float)
-            ids = b.column("id").combine_chunks()
-            if b.column("own")[0].as_py():
-                c = (x @ x.T >= threshold)
-                np.fill_diagonal(c, False)
-                return [(ids, c @ n)]
-            left = np.asarray(b.column("left"))
-            a, z = np.flatnonzero(left), np.flatnonzero(~left)
-            if not len(a) or not len(z):
-                return [(ids, np.zeros(len(n)))]
-            c = x[a] @ x[z].T >= threshold
-            return [(ids.take(pa.array(a)), c @ n[z]), (ids.take(pa.array(z)), n[a] @ c)]
+    rows = m.select(*key, "mine", other, *cols)
+    return rows.select(F.xxhash64(*key, F.least("mine", "o"), F.greatest("mine", "o")).alias("g"), (F.col("mine") <= F.col("o")).alias("left"), (F.col("mine") == F.col("o")).alias("own"), *cols)
 
-        def batch(found):
-            return [pa.RecordBatch.from_arrays([i, pa.array(np.rint(c).astype(np.int64))], names=["id", "n_links"]) for i, c in found]
 
+def _meet(rows: DataFrame, meet, schema: str) -> DataFrame:
+    """What ``meet`` makes of the rows of each g, as one table."""
+    def work(batches):
+        key, held = None, []
         for b in batches:
             g = np.asarray(b.column(0))
             cuts = [0, *(np.flatnonzero(g[1:] != g[:-1]) + 1).tolist(), len(g)]
@@ -203,17 +185,106 @@ def group_links(members: DataFrame, threshold: float) -> DataFrame:
                 if i == j:
                     continue
                 if held and g[i] != key:
-                    yield from batch(out())
+                    yield from meet(pa.Table.from_batches(held).combine_chunks())
                     held = []
                 key = g[i]
                 held.append(b.slice(i, j - i))
         if held:
-            yield from batch(out())
+            yield from meet(pa.Table.from_batches(held).combine_chunks())
+
+    return rows.repartition("g").sortWithinPartitions("g").mapInArrow(work, schema)
+
+
+def group_links(members: DataFrame, threshold: float) -> DataFrame:
+    """Rows (id, n_links) from rows (component, id, v, n), all members of a linked group against all, block by block.
+
+    Each row travels once for every block of its group that it meets, and comes back as one count for each.
+    """
+    def count(b):
+        x, n = _matrix(b.column("v").combine_chunks()), np.asarray(b.column("n")).astype(float)
+        ids, left = b.column("id").combine_chunks(), np.asarray(b.column("left"))
+        a, z = np.flatnonzero(left), np.flatnonzero(~left)
+        if b.column("own")[0].as_py():
+            c = x @ x.T >= threshold
+            np.fill_diagonal(c, False)
+            found = [(ids, c @ n)]
+        elif not len(a) or not len(z):
+            found = [(ids, np.zeros(len(n)))]
+        else:
+            c = x[a] @ x[z].T >= threshold
+            found = [(ids.take(pa.array(a)), c @ n[z]), (ids.take(pa.array(z)), n[a] @ c)]
+        for i, c in found:
+            yield pa.RecordBatch.from_arrays([i, pa.array(np.rint(c).astype(np.int64))], names=["id", "n_links"])
 
-    counted = rows.repartition("g").sortWithinPartitions("g").mapInArrow(count, f"id {kind}, n_links bigint")
+    counted = _meet(_blocks(members, ["component"], ["id", "v", "n"]), count, f"id {dict(members.dtypes)['id']}, n_links bigint")
     return counted.groupBy("id").agg(F.sum("n_links").alias("n_links"))
 
 
+def between_groups(members: DataFrame, threshold: float, k: int) -> DataFrame | None:
+    """Links (a, b) between linked groups of more than ``k`` members, from rows (component, id, v): at least one for
+    every two groups that have any, or None with less than two such groups.
+
+    Lists of such groups' members may be full of their own group. The search is exact: by the triangle inequality of
+    angles a link needs centres no farther apart than both radii and the threshold's angle, and a member that near to
+    the other centre; those members meet block by block, and a meeting gives its closest pair only.
+    """
+    kind, reach = dict(members.dtypes)["id"], float(np.arccos(min(1.0, max(-1.0, threshold)))) + 1e-6
+    large = members.groupBy("component").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > k).select("component")
+    large = cut(members.join(large, "component").select("component", "id", "v"))
+    # a group's smallest id is its centre
+    centres = large.where("id = component").select("component", F.col("v").alias("centre"))
+
+    def angle(x, y):
+        return np.arccos(np.clip(np.einsum("ij,ij->i", x, y), -1, 1))
+
+    def radius(batches):
+        for b in batches:
+            if len(b):
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(angle(_matrix(b.column(1)), _matrix(b.column(2))))], names=["component", "radius"])
+
+    far = large.join(centres, "component").select("component", "v", "centre").mapInArrow(radius, f"component {kind}, radius double")
+    centres = cut(centres.join(far.groupBy("component").agg(F.max("radius").alias("radius")), "component"))
+    if centres.limit(2).count() < 2:
+        return None
+
+    def near(b):
+        x, r, ids, left = _matrix(b.column("centre").combine_chunks()), np.asarray(b.column("radius")), b.column("id").combine_chunks(), np.asarray(b.column("left"))
+        own = b.column("own")[0].as_py()
+        a, z = (np.arange(len(r)),) * 2 if own else (np.flatnonzero(left), np.flatnonzero(~left))
+        hit = np.arccos(np.clip(x[a] @ x[z].T, -1, 1)) <= r[a][:, None] + r[z] + reach
+        i, j = np.nonzero(np.triu(hit, 1) if own else hit)
+        yield pa.RecordBatch.from_arrays([ids.take(pa.array(a[i])), ids.take(pa.array(z[j]))], names=["a", "b"])
+
+    pairs = _meet(_blocks(centres.withColumnRenamed("component", "id"), [], ["id", "centre", "radius"]), near, f"a {kind}, b {kind}")
+    pairs = cut(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
+
+    def close(batches):
+        for b in batches:
+            if len(b):
+                yield b.filter(pa.array(angle(_matrix(b.column(4)), _matrix(b.column(5))) <= np.asarray(b.column(6)) + reach)).select([0, 1, 2, 3, 4])
+
+    both = pairs.select("a", "b", F.lit(True).alias("left"), F.col("a").alias("mine"), F.col("b").alias("component")).union(pairs.select("a", "b", F.lit(False), "b", "a"))
+    rows = both.join(centres, "component").drop("component").join(large.withColumnRenamed("component", "mine"), "mine")
+    rows = cut(rows.select("a", "b", "left", "id", "v", "centre", "radius").mapInArrow(close, f"a {kind}, b {kind}, left boolean, id {kind}, v binary"))
+    blocks = lambda side: F.ceil(F.count(F.when(side, 1)) / BLOCK).cast("int")
+    sizes = rows.groupBy("a", "b").agg(blocks(F.col("left")).alias("l"), blocks(~F.col("left")).alias("r")).where("l > 0 AND r > 0")
+    rows = rows.join(sizes, ["a", "b"]).withColumn("m", F.pmod(F.xxhash64("id"), F.when(F.col("left"), F.col("l")).otherwise(F.col("r"))).cast("int"))
+    rows = rows.withColumn("o", F.explode(F.sequence(F.lit(0), F.when(F.col("left"), F.col("r")).otherwise(F.col("l")) - 1)))
+    g = F.xxhash64("a", "b", F.when(F.col("left"), F.col("m")).otherwise(F.col("o")), F.when(F.col("left"), F.col("o")).otherwise(F.col("m")))
+
+    def best(b):
+        x, ids, left = _matrix(b.column("v").combine_chunks()), b.column("id").combine_chunks(), np.asarray(b.column("left"))
+        a, z = np.flatnonzero(left), np.flatnonzero(~left)
+        if len(a) and len(z):
+            c = x[a] @ x[z].T
+            i, j = np.unravel_index(np.argmax(c), c.shape)
+            if c[i, j] >= threshold:
+                yield pa.RecordBatch.from_arrays([ids.take(pa.array([a[i]])), ids.take(pa.array([z[j]]))], names=["a", "b"])
+
+    found = _meet(rows.select(g.alias("g"), "left", "id", "v"), best, f"a {kind}, b {kind}")
+    return found.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+
+
 def audit(reps: DataFrame, linked: DataFrame, threshold: float, seed: int) -> tuple[float, int]:
     """Share of the links of AUDITED seeded vectors that brute force finds and ``linked`` (id, n_links) has, and their number."""
     spark = reps.sparkSession
@@ -275,12 +346,20 @@ def near_duplicates(
         now = exact(near, reps, threshold)
         links = cut(now if links is None else links.union(now).distinct())
         found = cut(components(links))
+        more = between_groups(found.join(reps, found["node"] == reps["id"]).select("component", "id", "v"), threshold, k)
+        if more is not None:
+            more = cut(more)
+            if more.limit(1).count():
+                links = cut(links.union(more).distinct())
+                found = cut(components(links))
         members = found.join(reps, found["node"] == reps["id"]).select("component", "id", "v", "n")
         linked = cut(group_links(members, threshold))
         release(spark)
         recall, _ = audit(reps, linked, threshold, seed + turn)
         if recall >= min_recall:
             break
+    if recall < min_recall:
+        raise RuntimeError(f"recall {recall:.4f} of the last audit is below {min_recall} after {max_rounds} rounds")
     if links is None:
         empty = spark.createDataFrame([], f"id {dict(d.dtypes)['id']}, n_links bigint, component {dict(d.dtypes)['id']}")
         by_rep = empty

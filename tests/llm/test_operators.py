@@ -86,6 +86,32 @@ def test_vectors_against_brute_force(spark):
     assert descent.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_links_between_tight_groups(spark):
+    r = np.random.Generator(np.random.PCG64(5))
+    x = r.normal(size=(700, 16))
+    turn = lambda v, w, by: np.cos(by) * v / np.linalg.norm(v) + np.sin(by) * w / np.linalg.norm(w)
+    # groups of near copies, two by two at an angle whose cosine is above 0.95
+    for at, size in ((0, 40), (80, 300)):
+        a = x[at] / np.linalg.norm(x[at])
+        w = r.normal(size=16)
+        w -= (w @ a) * a
+        for g in range(2):
+            x[at + g * size : at + (g + 1) * size] = turn(a, w, 0.3 * g) + 0.0005 * r.normal(size=(size, 16))
+    df = spark.createDataFrame([(i, [float(y) for y in v]) for i, v in enumerate(x)], "vec_id bigint, embedding array<double>")
+    got = {r["vec_id"]: r for r in descent.near_duplicates(df).collect()}
+    m = x / np.linalg.norm(x, axis=1, keepdims=True)
+    links = (m @ m.T >= 0.95) & ~np.eye(700, dtype=bool)
+    assert links[0, 40:80].all() and links[80, 380:680].all()
+    assert [got[i]["n_links"] for i in range(700)] == links.sum(1).tolist()
+    assert {got[i]["component_id"] for i in range(80)} == {0} and {got[i]["component_id"] for i in range(80, 680)} == {80}
+
+
+def test_low_recall_fails(spark):
+    df = spark.createDataFrame([(i, [1.0, i / 100]) for i in range(10)], "vec_id bigint, embedding array<double>")
+    with pytest.raises(RuntimeError, match="recall"):
+        descent.near_duplicates(df, min_recall=1.1, max_rounds=1)
+
+
 def test_components(spark):
     df = spark.createDataFrame([(3, 2), (2, 1), (7, 8), (5, 5)], "a bigint, b bigint")
     assert dict(map(tuple, components(df).collect())) == {1: 1, 2: 1, 3: 1, 7: 7, 8: 7}
