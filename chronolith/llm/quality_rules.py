@@ -4,6 +4,8 @@ Each document's histograms of character classes and of its language's common wor
 references by Jensen-Shannon distance. A reference is the mean histogram of all documents of the language
 (so it covers all data, and one very long document weighs no more than another). Fixed word lists say
 which words are common; guards keep short texts from being judged by histograms too small to tell.
+A distance is too large beyond a fence drawn from the quartiles of the distances of all judged documents of the
+language, so it follows how far good texts of the language lie from their mean.
 
 Null and empty texts have no words: all counts are 0 and the base rule fails them. A null or unlisted
 language is judged by the reference of all documents together and only by character classes.
@@ -30,6 +32,8 @@ COMMON = {
 SYMBOLS = "#*$%&|<>"
 CLASSES = ("lower", "upper", "digit", "space", "stop", "symbol", "other_ascii", "beyond_ascii")
 N_WORDS = max(map(len, COMMON.values())) + 1
+#: Steps of a distance from 0 to 1 when documents are counted by distance, and documents that make a fence of a language's own.
+BINS, FEWEST = 2000, 100
 
 _CLASS = np.full(256, 6)
 _CLASS[[*range(97, 123)]] = 0
@@ -152,6 +156,56 @@ def references(docs: DataFrame, text: str = "text", lang: str = "lang", min_char
     return out
 
 
+def _distances(data, off, langs: list, refs: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Both distances of each row, and its numbers of characters and words."""
+    chars, words = _histograms(data, off, langs)
+    keys = [x if x in refs else "" for x in langs]
+    dc = js_distance(chars, np.array([refs[k][0] for k in keys]))
+    dw = js_distance(words, np.array([refs[k][1] for k in keys]))
+    return dc, np.where([x in COMMON for x in langs], dw, 0.0), chars.sum(1), words.sum(1)
+
+
+def _fence(counts: np.ndarray, ranges: float, most: float) -> float:
+    """Upper quartile plus ``ranges`` times the quartiles' range of distances counted by step, at most ``most``."""
+    low, high = ((np.searchsorted(np.cumsum(counts), x * counts.sum()) + 1) / BINS for x in (0.25, 0.75))
+    return min(most, float(high + ranges * (high - low)))
+
+
+def fences(docs: DataFrame, refs: dict, class_ranges: float, word_ranges: float, max_class: float, max_word: float, text: str = "text", lang: str = "lang", min_chars: int = 200, min_words: int = 50) -> dict[str, tuple[float, float]]:
+    """Largest distances by listed language over every judged document; those of all documents ("") where a language has few."""
+    ship(docs.sparkSession)
+
+    def partial(batches):
+        total: dict[str, np.ndarray] = {}
+        for b in batches:
+            for i, j, data, off in bt.slices(b.column(0)):
+                langs = [x if x in COMMON else "" for x in b.column(1).slice(i, j - i).to_pylist()]
+                dc, dw, nc, nw = _distances(data, off, langs, refs)
+                own = np.array(langs, dtype=object)
+                for k in set(langs):
+                    mine = own == k
+                    at = [np.minimum(d[mine & ok] * BINS, BINS - 1).astype(int) for d, ok in ((dc, nc >= min_chars), (dw, (nw >= min_words) & (k != "")))]
+                    total[k] = total.get(k, 0) + np.stack([np.bincount(x, minlength=BINS) for x in at])
+        rows = [(k, int(i), int(x.reshape(-1)[i])) for k, x in total.items() for i in np.flatnonzero(x)]
+        yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.int32()), pa.array([r[2] for r in rows], pa.int64())], names=["lang", "i", "n"])
+
+    parts = docs.select(F.col(text).alias("text"), F.col(lang).cast("string").alias("lang")).mapInArrow(partial, "lang string, i int, n bigint")
+    counts: dict[str, np.ndarray] = {k: np.zeros((2, BINS)) for k in COMMON}
+    every = np.zeros((2, BINS))
+    # as many rows as languages times steps, whatever the input
+    for r in parts.groupBy("lang", "i").agg(F.sum("n").alias("n")).collect():
+        every.reshape(-1)[r["i"]] += r["n"]
+        if r["lang"] in counts:
+            counts[r["lang"]].reshape(-1)[r["i"]] = r["n"]
+    limits = ((class_ranges, max_class), (word_ranges, max_word))
+
+    def one(x: np.ndarray, k: int) -> float:
+        full = next((y[k] for y in (x, every) if y[k].sum() >= FEWEST), None)
+        return _fence(full, *limits[k]) if full is not None else limits[k][1]
+
+    return {k: (one(x, 0), one(x, 1)) for k, x in {**counts, "": every}.items()}
+
+
 def assess(
     docs: DataFrame,
     doc_id: str = "doc_id",
@@ -161,26 +215,28 @@ def assess(
     max_word_distance: float = 0.5,
     min_chars: int = 200,
     min_words: int = 50,
+    class_ranges: float = 4.0,
+    word_ranges: float = 1.0,
 ) -> DataFrame:
     """Rows (id, base counts, base_failed, class_distance, word_distance, kept), one for each input row.
 
-    A distance is judged only from ``min_chars`` characters or ``min_words`` alphanumeric words on.
+    A distance is judged only from ``min_chars`` characters or ``min_words`` alphanumeric words on. ``class_ranges``
+    and ``word_ranges``: how many quartile ranges above the upper quartile a language's fence stands, at most at
+    ``max_class_distance`` and ``max_word_distance``, which hold alone while under FEWEST documents are judged.
     """
     ship(docs.sparkSession)
     refs = references(docs, text, lang, min_chars, min_words)
+    most = fences(docs, refs, class_ranges, word_ranges, max_class_distance, max_word_distance, text, lang, min_chars, min_words)
 
     def score(batches):
         for b in batches:
             for i, j, data, off in bt.slices(b.column(1)):
                 langs = b.column(2).slice(i, j - i).to_pylist()
                 base = _base(data, off)
-                chars, words = _histograms(data, off, langs)
-                keys = [x if x in refs else "" for x in langs]
-                dc = js_distance(chars, np.array([refs[k][0] for k in keys]))
-                dw = js_distance(words, np.array([refs[k][1] for k in keys]))
-                dw = np.where([x in COMMON for x in langs], dw, 0.0)
+                dc, dw, nc, nw = _distances(data, off, langs, refs)
+                top = np.array([most[x if x in COMMON else ""] for x in langs]).reshape(-1, 2)
                 failed = (base["n_words"] < 10) | (100 * base["n_repeat_words"] > 20 * base["n_words"])
-                bad = (chars.sum(1) >= min_chars) & (dc > max_class_distance) | (words.sum(1) >= min_words) & (dw > max_word_distance)
+                bad = (nc >= min_chars) & (dc > top[:, 0]) | (nw >= min_words) & (dw > top[:, 1])
                 cols = [b.column(0).slice(i, j - i), *(pa.array(base[k]) for k in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")), pa.array(failed), pa.array(dc), pa.array(dw), pa.array(~failed & ~bad)]
                 yield pa.RecordBatch.from_arrays(cols, names=[f"c{k}" for k in range(10)])
 

@@ -212,3 +212,17 @@ def test_rules_base_counts(spark, rows):
         r = got[i]
         assert (r["n_words"], r["word_chars"], r["n_symbols"], r["n_dup_lines"], r["n_repeat_words"]) == want
         assert r["base_failed"] == (len(w) < 10 or 100 * len(rep) > 20 * len(w))
+
+
+def test_rules_reject_planted_junk(spark):
+    r = np.random.Generator(np.random.PCG64(6))
+    listed = quality_rules.COMMON["en"]
+    other = ["".join(r.choice(list("abcdefghijklmnop"), 6)) for _ in range(2000)]
+    text = lambda share, n=300: " ".join(r.choice(listed) if r.random() < share else r.choice(other) for _ in range(n))
+    rows = [(i, text(0.4), "en", "s") for i in range(400)]
+    rows += [(1000 + i, text(0.06), "en", "s") for i in range(10)]
+    rows += [(2000 + i, text(0.4).replace(" ", "|", 60), "en", "s") for i in range(10)]
+    got = {r["doc_id"]: r for r in quality_rules.assess(table(spark, rows)).collect()}
+    assert not any(r["base_failed"] or r["class_distance"] > 0.26 or r["word_distance"] > 0.5 for r in got.values())
+    assert not any(got[i]["kept"] for i in got if i >= 1000)
+    assert sum(got[i]["kept"] for i in range(400)) >= 380
