@@ -33,7 +33,7 @@ VIEWS = {
     "components": """SELECT conv_id AS record, turn + 1 AS ordinal, role AS kind,
         CASE WHEN turn = 0 THEN NULL ELSE CAST(floor((turn - 1) / 2.0) AS BIGINT) + 1 END AS container, text FROM conversations""",
     "concepts": """SELECT item_id AS concept, CASE WHEN item_id = 0 THEN NULL ELSE CAST(floor((item_id - 1) / 3.0) AS BIGINT) END AS broader,
-        lower(substring(text, 1, 12)) AS label FROM benchmark""",
+        lower(regexp_extract(text, '^[ \t\r\n]*[^ \t\r\n]+([ \t\r\n]+[^ \t\r\n]+)?([ \t\r\n]+[^ \t\r\n]+)?', 0)) AS label FROM benchmark""",
     "observations": "SELECT event_id, user_id AS resource, ts AS observed_at, event_type AS kind, sha256(coalesce(props, '')) AS hash, value FROM events",
 }
 #: Fixed value: the date on which "current" is judged.

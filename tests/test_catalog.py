@@ -33,3 +33,9 @@ def test_query_matches_oracle(spark, db, name):
 def test_entry_has_rows_and_contract(spark):
     assert entry.entry(spark).columns == ["member", "name", "term_no", "constituency", "overlap_start"]
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_labels_are_whole_words(spark):
+    labels = dict(map(tuple, model.view(spark, SF, "concepts").select("concept", "label").collect()))
+    for r in model.table(spark, SF, "benchmark").collect():
+        assert labels[r["item_id"]].split() == r["text"].lower().split()[:3]
