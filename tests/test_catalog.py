@@ -35,6 +35,12 @@ def test_entry_has_rows_and_contract(spark):
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
+@pytest.mark.parametrize("name", ["q14_status_history", "c15_ordered_stages"])
+def test_histories_cover_all_bills(spark, name):
+    want = model.table(spark, SF, "lineitem").select("l_orderkey").distinct().count()
+    assert catalog.QUERIES[name](spark, SF).select("bill").distinct().count() == want
+
+
 def test_labels_are_whole_words(spark):
     labels = dict(map(tuple, model.view(spark, SF, "concepts").select("concept", "label").collect()))
     for r in model.table(spark, SF, "benchmark").collect():
