@@ -8,10 +8,11 @@ network gives the probability of the next token's class, and within a class
 * of a band of rarer words (counts within a factor of sqrt 2): the word's share of the band's count;
 * of words that no training document has: 1, as the base model counts them as one word.
 
-So the probabilities of all next tokens sum to 1. The network is trained on a sample of at most ``max_docs``
-documents and ``max_words`` words by backpropagation truncated to windows of ``STEPS`` tokens, the state carried
-from window to window; there each word's count is less what its own document has, so that the classes of rare
-and unknown words are met as often as in documents that weren't counted.
+So the probabilities of all next tokens sum to 1. The network is trained by backpropagation truncated to windows of
+``STEPS`` tokens, the state carried from window to window; there each word's count is less what its own document has,
+so that the classes of rare and unknown words are met as often as in documents that weren't counted. It starts from a
+sample of at most ``max_docs`` whole documents and ``max_words`` words; from there every partition goes once over all
+of its training documents, and the weights are averaged, each partition's by its number of tokens.
 
 Scoring runs whole documents side by side, longest first, in windows that carry the state on. Counts of words come
 from a broadcast table of fixed size for the most frequent ones and from a join on hashes for all others.
@@ -143,6 +144,9 @@ class Network:
             self.p["bw"][:] = np.log(n / n.max())
         mass = [n[a:b].sum() for a, b in zip(c.edges[:-1], c.edges[1:])] + [c.mass[k] for k in c.bands.tolist()] + [max(1.0, c.mass.get(0, 1.0))]
         self.p["bc"][:] = np.log(np.array(mass) / sum(mass))
+        self.begin()
+
+    def begin(self) -> None:
         self.m = {k: (np.zeros_like(x), np.zeros_like(x)) for k, x in self.p.items()}
         self.steps = 0
 
@@ -235,26 +239,26 @@ class Network:
             p[name] -= rate * (m / (1 - 0.9**self.steps)) / (np.sqrt(v / (1 - 0.995**self.steps)) + 1e-7)
         return h
 
-    def fit(self, docs: list[tuple], epochs: int, lanes: int, seed: int, rate: float = 0.01) -> None:
-        """``docs``: (cls, rank, inside) of each document's tokens."""
+    def fit(self, docs: list[tuple], epochs: int, lanes: int, seed: int, rate: float = 0.01, last: float = 0.05) -> None:
+        """``docs``: (cls, rank, inside) of each document's tokens. The rate falls to its share ``last``."""
         r = np.random.Generator(np.random.PCG64(seed))
         words = sum(len(d[0]) for d in docs)
         lanes = max(1, min(lanes, words // (4 * STEPS)))
-        steps = words // lanes // STEPS
+        steps = -(-words // (lanes * STEPS))
         done, planned = 0, max(1, epochs * steps)
         for _ in range(epochs):
             order = r.permutation(len(docs))
             cls, rank, inside = (np.concatenate([docs[i][k] for i in order]) for k in range(3))
             sym = np.concatenate([np.concatenate([[self.c.start], self.c.symbols(docs[i][0], docs[i][1])[:-1]]) for i in order])
             n = steps * STEPS
-            lane = lambda x: x[: n * lanes].reshape(lanes, n).T
+            # the last window is filled up from the first tokens
+            lane = lambda x: np.resize(x, n * lanes).reshape(lanes, n).T
             s, c, k, v = lane(sym), lane(cls), lane(rank), lane(inside)
             h = np.zeros((lanes, HIDDEN), np.float32)
             for t in range(0, n, STEPS):
                 part = slice(t, t + STEPS)
-                h = self.train_window(h, s[part], c[part], k[part], v[part], rate * (1 - 0.95 * done / planned))
+                h = self.train_window(h, s[part], c[part], k[part], v[part], rate * (1 - (1 - last) * done / planned))
                 done += 1
-        del self.m
 
     def score(self, cls: np.ndarray, rank: np.ndarray, inside: np.ndarray, row: np.ndarray, n: int, window: int = 96) -> np.ndarray:
         """Natural log probability of each document; tokens one document after another."""
@@ -287,8 +291,90 @@ def _key(doc_id: str, text: str) -> Column:
     return F.xxhash64(F.col(doc_id), F.when(F.col(doc_id).isNull(), F.col(text)))
 
 
-def learn(docs: DataFrame, max_docs: int, max_words: int, epochs: int, seed: int) -> tuple[DataFrame, Classes, Network | None]:
-    """Counts of all tokens of column text, classes, and the network, from ``docs`` (columns id, text)."""
+def _counts(c: Classes, h: np.ndarray, row: np.ndarray, hs: pa.Array, cs: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Place and count of every token; hs and cs: each row's words outside the list and their counts."""
+    place = c.place(h)
+    n = np.where(place >= 0, c.counts[place] if len(c.counts) else 0, 0)
+    sizes = np.asarray(hs.value_lengths().fill_null(0))
+    if sizes.sum():
+        owner = np.repeat(np.arange(len(hs)), sizes).astype(np.uint64)
+        at = bt.mix(np.asarray(hs.flatten()).view(np.uint64) ^ bt.mix(owner))
+        order = np.argsort(at)
+        at, value = at[order], np.asarray(cs.flatten())[order]
+        new = np.flatnonzero(place < 0)
+        mine = bt.mix(h[new] ^ bt.mix(row[new].astype(np.uint64)))
+        k = np.minimum(np.searchsorted(at, mine), len(at) - 1)
+        n[new] = np.where(at[k] == mine, value[k], 0)
+    return place, n
+
+
+def rare_counts(docs: DataFrame, counts: DataFrame, classes: Classes) -> DataFrame:
+    """Rows (key, h, c): the counted words of each text of rows (key, text) that aren't in the list, and their counts."""
+    spark = docs.sparkSession
+    shared = spark.sparkContext.broadcast(classes)
+
+    def rare(batches):
+        c = shared.value
+        for b in batches:
+            for i, j, data, off in bt.slices(b.column(1)):
+                h, row = tokens(data, off)
+                new = c.place(h) < 0
+                h, row = h[new], row[new]
+                _, first = np.unique(bt.mix(h ^ bt.mix(row.astype(np.uint64))), return_index=True)
+                yield pa.RecordBatch.from_arrays([pa.array(h[first].view(np.int64)), b.column(0).slice(i, j - i).take(pa.array(row[first]))], names=["h", "key"])
+
+    pairs = docs.select("key", "text").mapInArrow(rare, "h bigint, key bigint")
+    found = cut(pairs.join(counts, "h").groupBy("key").agg(F.collect_list("h").alias("h"), F.collect_list("c").alias("c")))
+    release(spark)
+    return found
+
+
+def train_on_all(net: Network, docs: DataFrame, found: DataFrame, seed: int, rate: float = 0.004) -> None:
+    """Go on from ``net`` over every document of rows (key, text), each partition by itself, and average."""
+    shared = docs.sparkSession.sparkContext.broadcast(net)
+
+    def work(batches):
+        net, seen = shared.value, 0
+        net.p = {k: x.copy() for k, x in net.p.items()}  # the worker may go on to another partition
+        net.begin()
+        for b in batches:
+            for i, j, data, off in bt.slices(b.column(0)):
+                h, row = tokens(data, off)
+                place, n = _counts(net.c, h, row, b.column(1).slice(i, j - i), b.column(2).slice(i, j - i))
+                at = bt.runs(row, j - i)
+                sample = []
+                for a, z in zip(at[:-1], at[1:]):
+                    _, inverse, own = np.unique(h[a:z], return_inverse=True, return_counts=True)
+                    sample.append(net.c.of(place[a:z], np.maximum(n[a:z] - own[inverse], 0)))
+                if sample:
+                    net.fit(sample, 1, 64, seed, rate, 1.0)
+                    seen += len(h)
+        if seen:
+            yield pa.RecordBatch.from_arrays([pa.array([seen]), pa.array([np.concatenate([x.ravel() for x in net.p.values()]).astype(np.float32).tobytes()])], names=["n", "p"])
+
+    def alone(batches):
+        start = shared.value.p
+        try:
+            yield from work(batches)
+        finally:
+            shared.value.p = start
+
+    joined = docs.join(found.hint("shuffle_hash"), "key", "left").sortWithinPartitions("key", F.xxhash64("text")).select("text", "h", "c")
+    total, words = 0.0, 0
+    # one row of fixed size for each partition, one at a time
+    for r in cut(joined.mapInArrow(alone, "n bigint, p binary")).toLocalIterator():
+        total = total + r["n"] * np.frombuffer(r["p"], np.float32).astype(float)
+        words += r["n"]
+    if words:
+        at = 0
+        for k, x in net.p.items():
+            net.p[k] = (total[at : at + x.size] / words).astype(np.float32).reshape(x.shape)
+            at += x.size
+    release(docs.sparkSession)
+
+
+def fit_all(docs: DataFrame, scored: DataFrame, max_docs: int, max_words: int, epochs: int, seed: int) -> tuple[DataFrame, Classes, Network | None, DataFrame]:
+    """Counts of all tokens of column text, classes, the network, and ``rare_counts`` of ``scored`` (columns key, text), from ``docs`` (columns key, id, text)."""
     spark = docs.sparkSession
     counts = cut(count_tokens(docs))
     release(spark)
@@ -303,8 +389,9 @@ def learn(docs: DataFrame, max_docs: int, max_words: int, epochs: int, seed: int
     listed = counts.where(band >= low).toPandas() if low is not None else None  # LISTED rows at most
     h = listed["h"].to_numpy(np.int64).view(np.uint64) if low is not None else np.zeros(0, np.uint64)
     c = Classes(h, listed["c"].to_numpy(np.int64) if low is not None else np.zeros(0, np.int64), bands, sum(x[1] for x in bands.values()), sum(x[0] for x in bands.values()))
+    found_rare = rare_counts(scored, counts, c)
     if not bands:
-        return counts, c, None
+        return counts, c, None, found_rare
 
     def work(batches):
         for b in batches:
@@ -316,12 +403,12 @@ def learn(docs: DataFrame, max_docs: int, max_words: int, epochs: int, seed: int
     smallest = picked.select("k").orderBy("k").limit(max_docs).agg(F.max("k")).first()[0]
     rows, words = [], 0
     for r in picked.where(F.col("k") <= smallest).mapInArrow(work, "k bigint, h array<bigint>").orderBy("k", F.size("h")).toLocalIterator():
-        x = np.array(r["h"], np.int64).view(np.uint64)[: max(1, max_words - words)]
-        rows.append(x)
-        words += len(x)
-        if words >= max_words:
-            break
-    rare = np.unique(np.concatenate(rows))
+        x = np.array(r["h"], np.int64).view(np.uint64)
+        # whole documents; those that don't fit are met with all others below
+        if words + len(x) <= max_words:
+            rows.append(x)
+            words += len(x)
+    rare = np.unique(np.concatenate(rows)) if rows else np.zeros(0, np.uint64)
     rare = rare[c.place(rare) < 0].view(np.int64)
     found = counts.join(F.broadcast(spark.createDataFrame(pa.table({"h": rare}))), "h").toPandas() if len(rare) else None  # max_words rows at most
     known = found["h"].to_numpy(np.int64).view(np.uint64) if found is not None else np.zeros(0, np.uint64)
@@ -337,8 +424,17 @@ def learn(docs: DataFrame, max_docs: int, max_words: int, epochs: int, seed: int
         _, inverse, own = np.unique(x, return_inverse=True, return_counts=True)
         sample.append(c.of(place, np.maximum(n - own[inverse], 0)))
     net = Network(c, seed)
-    net.fit(sample, epochs, 64, seed)
-    return counts, c, net
+    if sample:
+        net.fit(sample, epochs, 64, seed)
+    del net.m
+    train_on_all(net, docs.select("key", "text"), found_rare, seed)
+    return counts, c, net, found_rare
+
+
+def learn(docs: DataFrame, max_docs: int, max_words: int, epochs: int, seed: int) -> tuple[DataFrame, Classes, Network | None]:
+    """Counts of all tokens of column text, classes, and the network, from ``docs`` (columns id, text)."""
+    docs = docs.withColumn("key", _key("id", "text"))
+    return fit_all(docs, docs, max_docs, max_words, epochs, seed)[:3]
 
 
 def score(
@@ -348,48 +444,24 @@ def score(
     """Rows (id, n_tokens, n_known, train_tokens, base_score, score), one for each input row.
 
     ``train_on``: which rows are learned from (all by default). base_score is the log10 probability by counts plus
-    one, score the network's; ``max_docs`` and ``max_words`` bound the network's sample, never the counts.
+    one, score the network's; ``max_docs`` and ``max_words`` bound the sample that the network starts from, never the
+    counts or the documents it learns from.
     """
     spark = docs.sparkSession
     ship(spark)
     d = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"), _key(doc_id, text).alias("key"))
     learned = docs.where(train_on) if train_on is not None else docs
-    counts, classes, net = learn(learned.select(F.col(doc_id).alias("id"), F.col(text).alias("text")), max_docs, max_words, epochs, seed)
+    learned = learned.select(F.col(doc_id).alias("id"), F.col(text).alias("text"), _key(doc_id, text).alias("key"))
+    _, classes, net, found = fit_all(learned, d, max_docs, max_words, epochs, seed)
     release(spark)
     shared = spark.sparkContext.broadcast((classes, net))  # LISTED rows and the network, whatever the input
 
-    def rare(batches):
-        c = shared.value[0]
-        for b in batches:
-            for i, j, data, off in bt.slices(b.column(1)):
-                h, row = tokens(data, off)
-                new = c.place(h) < 0
-                h, row = h[new], row[new]
-                _, first = np.unique(bt.mix(h ^ bt.mix(row.astype(np.uint64))), return_index=True)
-                yield pa.RecordBatch.from_arrays([pa.array(h[first].view(np.int64)), b.column(0).slice(i, j - i).take(pa.array(row[first]))], names=["h", "key"])
-
-    pairs = d.select("key", "text").mapInArrow(rare, "h bigint, key bigint")
-    found = cut(pairs.join(counts, "h").groupBy("key").agg(F.collect_list("h").alias("h"), F.collect_list("c").alias("c")))
-    release(spark)
-
     def work(batches):
         c, net = shared.value
         for b in batches:
             for i, j, data, off in bt.slices(b.column(1), 2 * bt.LIMIT):
                 h, row = tokens(data, off)
-                place = c.place(h)
-                n = np.where(place >= 0, c.counts[place] if len(c.counts) else 0, 0)
-                hs, cs = b.column(2).slice(i, j - i), b.column(3).slice(i, j - i)
-                sizes = np.asarray(hs.value_lengths().fill_null(0))
-                if sizes.sum():
-                    owner = np.repeat(np.arange(j - i), sizes).astype(np.uint64)
-                    at = bt.mix(np.asarray(hs.flatten()).view(np.uint64) ^ bt.mix(owner))
-                    order = np.argsort(at)
-                    at, value = at[order], np.asarray(cs.flatten())[order]
-                    new = np.flatnonzero(place < 0)
-                    mine = bt.mix(h[new] ^ bt.mix(row[new].astype(np.uint64)))
-                    k = np.minimum(np.searchsorted(at, mine), len(at) - 1)
-                    n[new] = np.where(at[k] == mine, value[k], 0)
+                place, n = _counts(c, h, row, b.column(2).slice(i, j - i), b.column(3).slice(i, j - i))
                 size = np.bincount(row, minlength=j - i)
                 base = np.bincount(row, weights=np.log10(n + 1.0), minlength=j - i) - size * math.log10(c.total + c.distinct + 1)
                 known = np.bincount(row[n > 0], minlength=j - i)

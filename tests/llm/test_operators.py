@@ -183,6 +183,20 @@ def test_lm_base_score_and_distribution(spark, rows):
     assert abs(np.exp(net.log_probs(h, cls, rank, inside).astype(float)).sum() - 1) < 1e-4
 
 
+def test_lm_learns_from_every_document(spark):
+    r = np.random.Generator(np.random.PCG64(7))
+    words = [f"w{i}" for i in range(10)]
+    ordered = lambda i: " ".join(words * 20)
+    mixed = lambda i: " ".join(["w0", *r.permutation(words * 20)[:-1]])
+    score = {}
+    for text in (ordered, mixed):
+        docs = table(spark, [(i, text(i), "en", "s") for i in range(200)] + [(1000, ordered(0), "en", "s")])
+        got = recurrent.score(docs, train_on=F.col("doc_id") < 1000, max_words=1).where("doc_id = 1000").first()
+        score[text] = got["score"]
+    # no document fits the starting sample: what the order of words tells comes from all documents
+    assert score[ordered] > score[mixed] + 1
+
+
 def test_importance_rejects_bad(spark):
     r = np.random.Generator(np.random.PCG64(4))
     good, bad = ([x + "".join(r.choice(list("abcdef"), 4)) for _ in range(200)] for x in "gz")
