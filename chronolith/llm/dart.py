@@ -7,13 +7,16 @@ the document's total weight hit one of ``k`` coordinates each, and a coordinate
 documents agree at a coordinate with the probability of their weighted Jaccard similarity. Bands of six
 coordinates make buckets; similarity in the buckets is then computed exactly.
 
-Exact copies fold into one representative first. In a bucket, every member is compared with the smallest
-one; a member that isn't linked to it is compared with those others that the triangle inequality of the
-Jaccard distance leaves open. So a group of near copies costs comparisons in proportion to its size, and
-no bucket is capped or gathered in one task.
+Exact copies fold into one representative first (texts with the same two 64-bit hashes of their words and the
+same number of shingles). In a bucket, every member is compared with the smallest one. What that leaves open,
+pairs of members in different components, is settled exactly: in buckets of up to ``SMALL`` members pair by
+pair, in larger ones by blocks of about ``BLOCK`` members, those outside the bucket's largest component against
+all, so that rows grow with members times blocks and no bucket is capped or gathered in one task. (The
+arithmetic of a bucket grows with its members times those outside its largest component.)
 
 Texts that are null, empty or have no word have no shingles: each is its own class. Repeated rows of one id
-are one document as far as their texts agree. Rows with a null id come back with a null class, kept.
+are one document with all their texts. Rows with a null id come back with a null class, kept. An empty table
+gives no rows; other columns are not read, whatever their names. Very long texts are worked on whole.
 """
 
 from __future__ import annotations
@@ -21,6 +24,7 @@ from __future__ import annotations
 import math
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
@@ -28,12 +32,14 @@ from . import bytetext as bt
 from .common import components, cut, release, ship
 
 K, BANDS, ROWS = 128, 40, 6
+#: Members of a bucket that are settled pair by pair; else members, and unit cells, of a block.
+SMALL, BLOCK, BLOCK_CELLS = 16, 256, 500_000
 #: Which coordinates make up each band: a fixed seeded choice without repeats.
 _DESIGN = np.stack([np.random.Generator(np.random.PCG64(100 + b)).permutation(K)[:ROWS] for b in range(BANDS)])
 
 
 def shingle_cells(data: np.ndarray, off: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Unit cells (hash of shingle and number of its occurrence), their rows, and a hash of each row's word sequence."""
+    """Unit cells (hash of shingle and number of its occurrence), their rows, and two hashes of each row's word sequence."""
     n = len(off) - 1
     s, e, doc = bt.spans(data, off)
     h = bt.hashes(data, s, e)
@@ -57,11 +63,18 @@ def shingle_cells(data: np.ndarray, off: np.ndarray, width: int) -> tuple[np.nda
         nth = np.arange(len(cell)) - np.repeat(starts, np.diff(np.append(starts, len(cell))))
         cell = bt.mix(cell ^ bt.mix(nth.astype(np.uint64) + bt.U(1)))
     place = np.arange(len(h)) - at[doc] if len(doc) else doc
-    whole = np.zeros(n, np.uint64)
-    np.add.at(whole, doc, bt.mix(h ^ bt.mix(place.astype(np.uint64))))
+    whole = np.zeros((n, 2), np.uint64)
+    for k in range(2):
+        term = np.cumsum(bt.mix(h ^ bt.mix(place.astype(np.uint64) * bt.U(2) + bt.U(k))))
+        whole[:, k] = np.diff(np.concatenate([np.zeros(1, np.uint64), term])[at])
     return cell, row, whole
 
 
+def _bytes16(pairs: np.ndarray) -> pa.Array:
+    """Two 64-bit numbers a row as 16 bytes."""
+    return pa.FixedSizeBinaryArray.from_buffers(pa.binary(16), len(pairs), [None, pa.py_buffer(np.ascontiguousarray(pairs).tobytes())]).cast(pa.binary())
+
+
 def signatures(cell: np.ndarray, row: np.ndarray, n: int, part: np.ndarray | None = None, k: int = K) -> np.ndarray:
     """(n, k) hashes of the earliest dart at each coordinate; rows without cells get zeros.
 
@@ -111,35 +124,86 @@ def sketch(docs: DataFrame, width: int = 5) -> DataFrame:
                     bands[:, band] = x
                 n = np.bincount(row, minlength=j - i)
                 keys = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(np.where(n > 0, BANDS, 0))]).astype(np.int32)), pa.array(bands[n > 0].reshape(-1).view(np.int64)))
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), pa.array(n), pa.array(whole.view(np.int64)), keys], names=["id", "n", "whole", "bands"])
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), pa.array(n), _bytes16(whole), keys], names=["id", "n", "whole", "bands"])
 
     kind = dict(docs.dtypes)["id"]
-    return docs.mapInArrow(work, f"id {kind}, n bigint, whole bigint, bands array<bigint>")
+    return docs.mapInArrow(work, f"id {kind}, n bigint, whole binary, bands array<bigint>")
 
 
-def _similarities(pairs: DataFrame, texts: DataFrame, width: int) -> DataFrame:
-    """Adds sim, the exact weighted Jaccard similarity, to rows (a, b)."""
+def _cells(texts: DataFrame, width: int) -> DataFrame:
+    """Rows (id, whole, cells), the unit cells of each text, from columns id, text."""
     def work(batches):
         for b in batches:
-            for i, j, data, off in bt.slices(b.column(2), bt.LIMIT // 2):
-                keys, rows, sizes = [], [], []
-                for col in (2, 3):
-                    _, _, data, off = next(bt.slices(b.column(col).slice(i, j - i), 1 << 62))
-                    cell, row, _ = shingle_cells(data, off, width)
-                    keys.append(bt.mix(cell ^ bt.mix(row.astype(np.uint64) + bt.U(7))))
-                    rows.append(row)
-                    sizes.append(np.bincount(row, minlength=j - i))
-                left = np.sort(keys[0])
-                at = np.minimum(np.searchsorted(left, keys[1]), max(len(left) - 1, 0))
-                both = np.bincount(rows[1][left[at] == keys[1]] if len(left) else rows[1][:0], minlength=j - i)
-                sim = both / np.maximum(sizes[0] + sizes[1] - both, 1)
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), b.column(1).slice(i, j - i), pa.array(sim)], names=["a", "b", "sim"])
-
-    kind = dict(pairs.dtypes)["a"]
-    one = texts.select(F.col("id").alias("a"), F.col("text").alias("text_a"))
-    two = texts.select(F.col("id").alias("b"), F.col("text").alias("text_b"))
-    full = pairs.select("a", "b").join(one, "a").join(two, "b").select("a", "b", "text_a", "text_b")
-    return full.mapInArrow(work, f"a {kind}, b {kind}, sim double")
+            for i, j, data, off in bt.slices(b.column(1)):
+                cell, row, whole = shingle_cells(data, off, width)
+                order = np.argsort(row, kind="stable")
+                at = np.searchsorted(row[order], np.arange(j - i + 1)).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), _bytes16(whole), pa.ListArray.from_arrays(pa.array(at), pa.array(cell[order].view(np.int64)))], names=["id", "whole", "cells"])
+
+    return texts.select("id", "text").mapInArrow(work, f"id {dict(texts.dtypes)['id']}, whole binary, cells array<bigint>")
+
+
+def _similarities(pairs: DataFrame, cells: DataFrame) -> DataFrame:
+    """Rows (a, b, sim) of pairs (a, a_whole, b, b_whole), with the exact weighted Jaccard similarity of their unit cells."""
+    side = lambda x: cells.select(F.col("id").alias(x), F.col("whole").alias(f"{x}_whole"), F.col("cells").alias(f"{x}_cells"))
+    both = pairs.join(side("b"), ["b", "b_whole"]).join(side("a"), ["a", "a_whole"])
+    common = F.size(F.array_intersect("a_cells", "b_cells"))
+    return both.select("a", "b", (common / (F.size("a_cells") + F.size("b_cells") - common)).alias("sim"))
+
+
+def _block_links(parts: DataFrame, threshold: float) -> DataFrame:
+    """Links (a, b) between the two sides of each (key, bx, by): rows (side, id, c, cells), c being the component, which differs."""
+    def compare(pdf):
+        x, y = pdf[~pdf["side"]], pdf[pdf["side"]]
+        rows = [np.repeat(np.arange(len(z)), [len(c) for c in z["cells"]]) for z in (x, y)]
+        flat = [np.concatenate(list(z["cells"])) if len(z) else np.zeros(0, np.int64) for z in (x, y)]
+        common = np.intersect1d(*flat)
+        for k in range(2):
+            at = np.minimum(np.searchsorted(common, flat[k]), max(len(common) - 1, 0))
+            has = common[at] == flat[k] if len(common) else np.zeros(len(flat[k]), bool)
+            order = np.argsort(at[has], kind="stable")
+            rows[k], flat[k] = rows[k][has][order], at[has][order]
+        inter = np.zeros((len(x), len(y)), np.float32)
+        for lo in range(0, len(common), 4096):
+            dense = []
+            for k, z in enumerate((x, y)):
+                m = np.zeros((len(z), 4096), np.float32)
+                a, b = np.searchsorted(flat[k], [lo, lo + 4096])
+                m[rows[k][a:b], flat[k][a:b] - lo] = 1
+                dense.append(m)
+            inter += dense[0] @ dense[1].T
+        size = [z["cells"].map(len).to_numpy(np.float64) for z in (x, y)]
+        sim = inter / (size[0][:, None] + size[1][None, :] - inter)
+        i, j = np.nonzero((sim >= threshold) & (x["c"].to_numpy()[:, None] != y["c"].to_numpy()[None, :]))
+        return pd.DataFrame({"a": x["id"].to_numpy()[i], "b": y["id"].to_numpy()[j]})
+
+    kind = dict(parts.dtypes)["id"]
+    return parts.groupBy("key", "bx", "by").applyInPandas(compare, f"a {kind}, b {kind}")
+
+
+def _open_links(buckets: DataFrame, comp: DataFrame, cells: DataFrame, threshold: float) -> DataFrame:
+    """Links between members of a bucket in different components, other than those with its pivot, which are known."""
+    named = comp.select(F.col("node").alias("id"), "component")
+    nodes = buckets.join(named, "id", "left").withColumn("c", F.coalesce("component", "id"))
+    per = nodes.groupBy("key", "c").agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("cells"))
+    per = per.groupBy("key").agg(F.max(F.struct("k", "c", "cells")).alias("top"), F.sum("k").alias("k"), F.sum("cells").alias("all_cells"))
+    per = per.where("k > 2 AND k > top.k").select("key", "k", "all_cells", F.col("top.c").alias("top_c"), (F.col("k") - F.col("top.k")).alias("minor"), (F.col("all_cells") - F.col("top.cells")).alias("minor_cells"))
+    rest = cut(nodes.where("id <> pivot").join(per, "key").select("key", "id", "whole", "n", "c", "k", "all_cells", "minor", "minor_cells", (F.col("c") != F.col("top_c")).alias("is_minor")))
+    few = rest.where(F.col("k") <= SMALL)
+    x, y = few.where("is_minor").alias("x"), few.alias("y")
+    # no similarity is above the ratio of sizes
+    near = F.least("x.n", "y.n") >= threshold * F.greatest("x.n", "y.n")
+    pairs = x.join(y, F.col("x.key") == F.col("y.key")).where((F.col("x.c") != F.col("y.c")) & (~F.col("y.is_minor") | (F.col("x.id") > F.col("y.id"))) & near)
+    pairs = pairs.select(F.col("x.id").alias("a"), F.col("x.whole").alias("a_whole"), F.col("y.id").alias("b"), F.col("y.whole").alias("b_whole")).distinct()
+    found = _similarities(pairs, cells).where(F.col("sim") >= threshold).select("a", "b")
+    blocks = lambda k, n: F.greatest(F.ceil(F.col(k) / BLOCK), F.ceil(F.col(n) / BLOCK_CELLS))
+    many = rest.where(F.col("k") > SMALL).withColumn("nx", blocks("minor", "minor_cells")).withColumn("ny", blocks("k", "all_cells"))
+    own = lambda n: F.pmod(F.xxhash64("id", "whole"), F.col(n))
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(n) - 1))
+    sides = many.where("is_minor").select("key", "id", "whole", "c", own("nx").alias("bx"), every("ny").alias("by"), F.lit(False).alias("side"))
+    sides = sides.unionByName(many.select("key", "id", "whole", "c", every("nx").alias("bx"), own("ny").alias("by"), F.lit(True).alias("side")))
+    parts = sides.join(cells, ["id", "whole"]).select("key", "bx", "by", "side", "id", "c", "cells")
+    return found.union(_block_links(parts, threshold))
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 5, threshold: float = 0.8) -> DataFrame:
@@ -155,37 +219,22 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     same = cut(base.where("n > 0 AND id IS NOT NULL").groupBy("whole", "n").agg(F.min("id").alias("rep"), F.max("id").alias("top")).where("rep < top").drop("top"))
     ids = base.select("id", "whole", "n").join(same, ["whole", "n"], "left").select("id", "n", F.coalesce("rep", "id").alias("rep"))
     reps = base.where("n > 0 AND id IS NOT NULL").join(same, ["whole", "n"], "left").where("rep IS NULL OR id = rep")
-    rows = reps.select("id", "n", F.explode("bands").alias("key"))
-    full = rows.groupBy("key").agg(F.min("id").alias("pivot"), F.max("id").alias("top")).where("pivot < top").drop("top")
-    full = cut(full)
+    rows = reps.select("id", "whole", "n", F.explode("bands").alias("key"))
+    full = cut(rows.groupBy("key").agg(F.min("id").alias("pivot"), F.max("id").alias("top")).where("pivot < top").drop("top"))
     buckets = cut(rows.join(full, "key").distinct())
     release(spark)
-    sizes = buckets.select("id", "n").distinct()
-    wanted = sizes.select("id").hint("shuffle_hash")
-    texts = cut(d.join(wanted, "id", "left_semi").dropDuplicates(["id"]))
+    wanted = buckets.select("id").distinct().hint("shuffle_hash")
+    cells = cut(_cells(d.join(wanted, "id", "left_semi"), width).dropDuplicates(["id", "whole"]))
     release(spark)
-    close = lambda x, y: F.least(x, y) >= threshold * F.greatest(x, y)  # noqa: E731  no similarity is above the ratio of sizes
-    pivots = buckets.where("id = pivot").select("key", F.col("n").alias("pivot_n"))
-    first = buckets.where("id <> pivot").join(pivots, "key").select(F.col("id").alias("a"), F.col("pivot").alias("b"), "n", "pivot_n").distinct()
-    known = cut(_similarities(first, texts, width))
-    links = known.where(F.col("sim") >= threshold).select("a", "b")
+    pivots = buckets.where("id = pivot").select("key", F.col("whole").alias("b_whole"), F.col("n").alias("b_n"))
+    near = F.least("n", "b_n") >= threshold * F.greatest("n", "b_n")  # no similarity is above the ratio of sizes
+    pairs = buckets.where("id <> pivot").join(pivots, "key").where(near).select(F.col("id").alias("a"), F.col("whole").alias("a_whole"), F.col("pivot").alias("b"), "b_whole").distinct()
+    links = cut(_similarities(pairs, cells).where(F.col("sim") >= threshold).select("a", "b"))
+    # an id that has several texts links the classes of all of them
+    several = ids.where("id IS NOT NULL").groupBy("id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).where("a < b").select("id")
+    links = links.union(ids.join(several.hint("shuffle_hash"), "id", "left_semi").where("id <> rep").select(F.col("id").alias("a"), F.col("rep").alias("b")))
     comp = cut(components(links))
-    # what is left: two members of a bucket in different components, one of them not linked with the pivot
-    member = (
-        buckets.join(known.select(F.col("a").alias("id"), F.col("b").alias("pivot"), "sim"), ["id", "pivot"], "left")
-        .join(comp.select(F.col("node").alias("id"), "component"), "id", "left")
-        .join(comp.select(F.col("node").alias("pivot"), F.col("component").alias("pivot_component")), "pivot", "left")
-        .select("key", "id", "n", F.coalesce("component", "id").alias("c"), F.coalesce("pivot_component", "pivot").alias("pc"), (1 - F.coalesce("sim", F.lit(1.0))).alias("d"), (F.col("id") == F.col("pivot")).alias("is_pivot"))
-        .where("NOT is_pivot")
-    )
-    open_keys = member.where("c <> pc").select("key").distinct()
-    member = cut(member.join(open_keys, "key", "left_semi"))
-    x, y = member.where("c <> pc").alias("x"), member.alias("y")
-    more = x.join(y, F.col("x.key") == F.col("y.key")).where(
-        (F.col("x.c") != F.col("y.c")) & (F.abs(F.col("x.d") - F.col("y.d")) <= 1 - threshold + 1e-9) & (F.col("x.d") + F.col("y.d") > 0) & close(F.col("x.n"), F.col("y.n"))
-    )
-    more = more.select(F.greatest("x.id", "y.id").alias("a"), F.least("x.id", "y.id").alias("b")).distinct()
-    more = cut(_similarities(more, texts, width)).where(F.col("sim") >= threshold).select("a", "b")
+    more = cut(_open_links(buckets, comp, cells, threshold))
     if more.take(1):
         comp = cut(components(links.union(more)))
     out = ids.join(comp.select(F.col("node").alias("rep"), "component"), "rep", "left")

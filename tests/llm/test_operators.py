@@ -135,6 +135,49 @@ def test_near_duplicates_found(spark, rows):
     assert got[200]["kept"] and got[300]["kept"]
 
 
+def jaccard(a, b):
+    x, y = (Counter(tuple(w[i : i + 5]) for i in range(len(w) - 4)) for w in (a.split(), b.split()))
+    return sum((x & y).values()) / sum((x | y).values())
+
+
+def test_near_duplicates_against_brute_force(spark):
+    """A chain of ever further copies, many of them unlinked with the smallest of their bucket, small groups, and an id with two texts."""
+    r = np.random.Generator(np.random.PCG64(8))
+    words = ["".join(r.choice(list("abcdefgh"), 4)) for _ in range(500)]
+    base = list(r.choice(words, 120))
+    texts = {}
+    for i in range(150):
+        copy = list(base)
+        for at in r.choice(120, int(r.integers(1, 7)), replace=False):
+            copy[at] = str(r.choice(words))
+        texts[i] = copy
+    for i in range(150, 240, 3):
+        one = list(r.choice(words, 60))
+        for j in range(3):
+            texts[i + j] = one[: 59 - j] + list(r.choice(words, 1 + 2 * j))
+    rows = [(i, " ".join(w)) for i, w in texts.items()]
+    other = list(r.choice(words, 80))
+    rows += [(900, " ".join(other)), (900, " ".join(texts[239])), (901, " ".join(other[:79]))]
+    df = spark.createDataFrame([(i, t, 1, 2) for i, t in rows], "doc_id bigint, text string, key int, pivot int")
+    parent = {i: i for i, _ in rows}
+
+    def top(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    linked = 0
+    for i, (a, x) in enumerate(rows):
+        for b, y in rows[:i]:
+            if a != b and jaccard(x, y) >= 0.8:
+                linked += 1
+                lo, hi = sorted((top(a), top(b)))
+                parent[hi] = lo
+    assert linked > 300 and len({top(i) for i in range(150)}) > 5
+    got = {r["doc_id"]: r["component_id"] for r in dart.near_duplicates(df).collect()}
+    assert got == {i: top(i) for i, _ in rows}
+
+
 def test_encoding_round_trip(spark, rows):
     out = pieces.encode(table(spark, rows), k=2)
     for i in (1, 2):
