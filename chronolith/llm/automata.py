@@ -114,47 +114,99 @@ def _segments(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     return docs.join(wanted.hint("shuffle_hash"), "id").select("id", "text", "marks").mapInArrow(work, f"key bigint, seg binary, id {kind}, at int")
 
 
-def _locate(piece: list[tuple], width: int) -> tuple[list, list, list, list]:
-    """For distinct segments (key, seg, lowest id, highest id): which windows recur, and their first documents."""
-    codes: dict[bytes, str] = {}
-    lines = []
-    for _, seg, _, _ in piece:
-        line = []
-        for w in seg.split():
-            c = codes.get(w)
-            if c is None:
-                n = len(codes) + 1
-                c = codes[w] = chr(n if n < 0xD800 else n + 0x800)
-            line.append(c)
-        lines.append("".join(line))
-    first: dict[str, object] = {}
-    last: dict[str, object] = {}
-    for line, (_, _, lo, hi) in zip(lines, piece):
-        for i in range(len(line) - width + 1):
-            w = line[i : i + width]
-            x = first.get(w)
-            if x is None:
-                first[w], last[w] = lo, hi
-            else:
-                if lo < x:
-                    first[w] = lo
-                if hi > last[w]:
-                    last[w] = hi
+class Piece:
+    """Distinct segments of whole anchors, as one string of word codes, each segment ended by a code that no word has."""
+
+    def __init__(self, segs: pa.Array, width: int):
+        off = np.frombuffer(segs.buffers()[1], np.int32)[segs.offset : segs.offset + len(segs) + 1].astype(np.int64)
+        data = np.frombuffer(segs.buffers()[2] or b"", np.uint8)[off[0] : off[-1]]
+        s, e, self.seg = bt.spans(data, off - off[0])
+        code = _codes(data, s, e)
+        count = np.bincount(self.seg, minlength=len(segs))
+        #: the place of each segment's first code, and of its end
+        self.begin = np.concatenate([[0], np.cumsum(count + 1)])
+        self.line = np.ones(int(self.begin[-1]), np.uint32)
+        at = np.arange(len(code)) + self.seg
+        # word codes from 2 on, without the surrogates
+        code = code + 2
+        self.line[at] = np.where(code < 0xD800, code, code + 0x800)
+        self.text = self.line.tobytes().decode("utf-32-le")
+        self.start = np.flatnonzero((count >= width)[self.seg] & (at + width <= self.begin[self.seg + 1] - 1))
+        self.owner, self.start = self.seg[self.start], at[self.start]
+
+
+def _codes(data: np.ndarray, s: np.ndarray, e: np.ndarray) -> np.ndarray:
+    """A number for each word, the same for equal words only: by hash, then byte by byte."""
+    h = bt.hashes(data, s, e)
+    _, first, code = np.unique(h, return_index=True, return_inverse=True)
+    mine, its = e - s, (e - s)[first][code]
+    same = mine == its
+    size = np.where(same, mine, 0)
+    spread = np.repeat(np.arange(len(s)), size)
+    step = np.arange(len(spread)) - np.repeat(np.cumsum(size) - size, size)
+    differs = data[s[spread] + step] != data[s[first][code][spread] + step]
+    same[spread[differs]] = False
+    if not same.all():  # two words of one hash: number these words by themselves
+        extra: dict[bytes, int] = {}
+        for i in np.flatnonzero(~same):
+            code[i] = len(first) + extra.setdefault(data[s[i] : e[i]].tobytes(), len(extra))
+    return code
+
+
+def _locate(segs: pa.Array, lo: np.ndarray, hi: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Segments, word places in them, and first documents: every window that an earlier document has, by one automaton.
+
+    ``lo``, ``hi``: lowest and highest id that has each segment. Windows that two documents have are confirmed;
+    neighbours in a segment that have the same first document are chained into a passage; the automaton of the
+    distinct passages is then run over the whole piece, so each occurrence of a passage is found, in whatever
+    segment, together with the first document of its windows.
+    """
+    none = np.zeros(0, np.int64), np.zeros(0, np.int64), lo[:0]
+    p = Piece(segs, width)
+    if not len(p.start):
+        return none
+    words = np.lib.stride_tricks.sliding_window_view(p.line, width)
+    g, _ = bt.grams(bt.mix(p.line.astype(np.uint64)), np.zeros(len(p.line), np.int64), width)
+    _, first, which = np.unique(g[p.start], return_index=True, return_inverse=True)
+    if (words[p.start] != words[p.start[first]][which]).any():  # two windows of one hash
+        _, which = np.unique(words[p.start], axis=0, return_inverse=True)
+    order = np.argsort(which, kind="stable")
+    cuts = np.flatnonzero(np.diff(which[order], prepend=-1))
+    least, most = np.minimum.reduceat(lo[p.owner][order], cuts)[which], np.maximum.reduceat(hi[p.owner][order], cuts)[which]
+    recurs = least < most
+    start, owner, least = p.start[recurs], p.owner[recurs], least[recurs]
+    if not len(start):
+        return none
+    new = np.ones(len(start), bool)
+    new[1:] = (np.diff(start) != 1) | (owner[1:] != owner[:-1]) | (least[1:] != least[:-1])
+    a, z = start[new], start[np.append(np.flatnonzero(new)[1:], len(start)) - 1] + width
+    passages = dict(zip(map(p.text.__getitem__, map(slice, a.tolist(), z.tolist())), least[new].tolist()))
     machine = ahocorasick.Automaton()
-    for w, lo in first.items():
-        if lo < last[w]:
-            machine.add_word(w, lo)
-    keys, segs, places, firsts = [], [], [], []
-    if len(machine):
-        machine.make_automaton()
-        for line, (key, seg, _, hi) in zip(lines, piece):
-            found = [(end - width + 1, lo) for end, lo in machine.iter(line) if lo < hi]
-            if found:
-                keys.append(key)
-                segs.append(seg)
-                places.append([x[0] for x in found])
-                firsts.append([x[1] for x in found])
-    return keys, segs, places, firsts
+    for words, value in passages.items():
+        machine.add_word(words, (len(words), value))
+    machine.make_automaton()
+    found = [(end, size, value) for end, (size, value) in machine.iter(p.text)]
+    end, size, value = np.array([x[0] for x in found]), np.array([x[1] for x in found]), np.array([x[2] for x in found], lo.dtype)
+    # the windows of each passage found
+    n = size - width + 1
+    at = np.repeat(end - size + 1, n) + np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+    value, seg = np.repeat(value, n), np.searchsorted(p.begin, at, "right") - 1
+    keep = value < hi[seg]
+    at, seg, value = at[keep], seg[keep], value[keep]
+    _, once = np.unique(at, return_index=True)  # a window found in several passages has one first document
+    return seg[once], at[once] - p.begin[seg[once]], value[once]
+
+
+def _pieces(key: np.ndarray, limit: int | None = None) -> list[tuple[int, int]]:
+    """Stretches of about ``limit`` rows that end where the key changes."""
+    n = len(key)
+    change = np.append(np.flatnonzero(key[1:] != key[:-1]) + 1, n)
+    out, a = [], 0
+    while a < n:
+        z = int(change[min(np.searchsorted(change, a + (limit or PIECE)), len(change) - 1)])
+        out.append((a, z))
+        a = z
+    return out
 
 
 def repeated_windows(docs: DataFrame, width: int = 13) -> DataFrame:
@@ -177,25 +229,37 @@ def repeated_windows(docs: DataFrame, width: int = 13) -> DataFrame:
     folded = segments.groupBy("key", "seg").agg(F.min("id").alias("lo"), F.max("id").alias("hi"))
 
     def compile_and_stream(batches):
-        piece: list[tuple] = []
-
-        def out():
-            keys, segs, places, firsts = _locate(piece, width)
-            return pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(segs, pa.binary()), pa.array(places, pa.list_(pa.int32())), pa.array(firsts, pa.list_(arrow_kind))], names=["key", "seg", "places", "firsts"])
+        def out(rows):
+            seg, place, first = _locate(rows.column(1).combine_chunks(), *(rows.column(k).to_numpy() for k in (2, 3)), width)
+            own, count = np.unique(seg, return_counts=True)
+            at = pa.array(np.concatenate([[0], np.cumsum(count)]).astype(np.int32))
+            lists = pa.ListArray.from_arrays(at, pa.array(place.astype(np.int32))), pa.ListArray.from_arrays(at, pa.array(first, arrow_kind))
+            return pa.RecordBatch.from_arrays([rows.column(1).combine_chunks().take(pa.array(own)), *lists], names=["seg", "places", "firsts"])
 
+        held, n = [], 0
         for b in batches:
-            for row in zip(*(c.to_pylist() for c in b.columns)):
-                if len(piece) >= PIECE and row[0] != piece[-1][0]:
-                    yield out()
-                    piece = []
-                piece.append(row)
-        if piece:
-            yield out()
+            # whole anchors only: what follows the last change of the key waits for the next batch
+            held.append(b)
+            n += len(b)
+            if n < PIECE:
+                continue
+            rows = pa.Table.from_batches(held)
+            key = rows.column(0).to_numpy()
+            last = int(np.flatnonzero(key != key[-1])[-1]) + 1 if key[0] != key[-1] else 0
+            for a, z in _pieces(key[:last]):
+                yield out(rows.slice(a, z - a))
+            held, n = rows.slice(last).to_batches(), len(rows) - last
+        if n:
+            rows = pa.Table.from_batches(held)
+            for a, z in _pieces(rows.column(0).to_numpy()):
+                yield out(rows.slice(a, z - a))
 
     shards = folded.repartition("key").sortWithinPartitions("key").select("key", "seg", "lo", "hi")
-    found = shards.mapInArrow(compile_and_stream, f"key bigint, seg binary, places array<int>, firsts array<{kind}>")
-    found = found.select("key", F.xxhash64("seg").alias("sh"), F.arrays_zip("places", "firsts").alias("hits"))
-    rows = segments.select("key", F.xxhash64("seg").alias("sh"), "id", "at").join(found, ["key", "sh"])
+    found = shards.mapInArrow(compile_and_stream, f"seg binary, places array<int>, firsts array<{kind}>")
+    # a segment names its anchor, so two hashes of it stand for key and words
+    names = [F.xxhash64("seg").alias("sh"), F.xxhash64(F.lit(1), "seg").alias("sh2")]
+    found = found.select(*names, F.arrays_zip("places", "firsts").alias("hits"))
+    rows = segments.select(*names, "id", "at").join(found, ["sh", "sh2"])
     later = rows.select("id", F.transform(F.filter("hits", lambda x: x["firsts"] < F.col("id")), lambda x: x["places"] + F.col("at")).alias("s")).where(F.size("s") > 0)
     out = cut(later.groupBy("id").agg(F.array_distinct(F.flatten(F.collect_list("s"))).alias("starts")))
     drop(spark, path)

@@ -6,6 +6,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -187,14 +188,13 @@ def test_encoding_round_trip(spark, rows):
     assert out.where("array_join(ids_1, ' ') = array_join(ids_2, ' ') AND size(ids_1) > 0").count() == 0
 
 
-def test_passages_against_brute_force(spark, rows):
-    seen = {}
-    docs = [(i, WORD.findall(t or "")) for i, t, _, _ in rows if i is not None]
+def removals(docs):
+    """What is left of each of (id, words): number of words, number removed, hash of the rest."""
+    seen, want = {}, {}
     for i, w in docs:
         for k in range(len(w) - 12):
             key = tuple(w[k : k + 13])
             seen[key] = min(seen.get(key, i), i)
-    want = {}
     for i, w in docs:
         gone = set()
         for k in range(len(w) - 12):
@@ -202,10 +202,45 @@ def test_passages_against_brute_force(spark, rows):
                 gone |= set(range(k, k + 13))
         left = [x for k, x in enumerate(w) if k not in gone]
         want[i] = (len(w), len(gone), hashlib.sha256(" ".join(left).encode()).hexdigest())
+    return want
+
+
+def test_passages_against_brute_force(spark, rows):
+    want = removals([(i, WORD.findall(t or "")) for i, t, _, _ in rows if i is not None])
     got = {r["doc_id"]: tuple(r)[1:] for r in automata.remove_repeats(table(spark, rows), digest=True).collect() if r["doc_id"] is not None}
     assert got == want
 
 
+def test_frequent_passages_against_brute_force(spark, monkeypatch):
+    """Anchors above the bound on frequency, parts of passages in documents before and after the whole."""
+    monkeypatch.setattr(automata, "HOT", 3)
+    r = np.random.Generator(np.random.PCG64(9))
+    words = ["".join(r.choice(list("abcdefgh"), 3)) for _ in range(200)]
+    passage = list(r.choice(words, 60))
+    docs = []
+    for i in range(80):
+        a, z = sorted(int(x) for x in r.integers(0, 61, 2))
+        docs.append((i, [*r.choice(words, int(r.integers(0, 20))), *passage[a:z], *r.choice(words, int(r.integers(0, 20)))]))
+    got = automata.remove_repeats(spark.createDataFrame([(i, "  ".join(w)) for i, w in docs], "doc_id int, text string"), digest=True)
+    assert {x["doc_id"]: tuple(x)[1:] for x in got.collect()} == removals(docs)
+
+
+def test_automaton_of_segments():
+    segs = ["a b c d e f", "x a b c d", "a b c d y", "c  d\ne f", "q r s t"]
+    lo, hi = np.array([5, 2, 9, 1, 4]), np.array([5, 2, 9, 1, 4])
+    seg, place, first = automata._locate(pa.array([s.encode() for s in segs], pa.binary()), lo, hi, 3)
+    got = set(zip(seg.tolist(), place.tolist(), first.tolist()))
+    want = set()
+    for i, s in enumerate(segs):
+        w = s.split()
+        for k in range(len(w) - 2):
+            least = min(lo[j] for j, t in enumerate(segs) if any(t.split()[m : m + 3] == w[k : k + 3] for m in range(len(t.split()))))
+            if least < hi[i]:
+                want.add((i, k, int(least)))
+    assert got == want and len(got) == len(seg) and (0, 0, 2) in got
+    assert automata._pieces(np.array([1, 1, 2, 2, 2, 3]), 1) == [(0, 2), (2, 5), (5, 6)]
+
+
 def test_lm_base_score_and_distribution(spark, rows):
     docs = table(spark, rows)
     train = F.coalesce(F.col("doc_id") < 35, F.lit(False))
