@@ -11,7 +11,8 @@ stretch of that line, and a document gives what of it lies on the stretch. So am
 and at most one document at each end of a stretch is taken in part (its leading words).
 
 Null and empty texts have size 0 and are never taken. A null source is a source of its own, last in order.
-Documents without any source are taken 0 words. Repeated rows are documents of their own.
+Documents without any source are taken 0 words. Repeated rows, and rows with a null id, are documents of their
+own, each with its own taken words. An empty table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
@@ -109,10 +110,11 @@ def mix(
     """
     spark = docs.sparkSession
     keep = keep or [doc_id]
+    carried = [f"k{i}" for i in range(len(keep))]
     size = F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("bigint")
     members = F.array_sort(F.array_distinct(F.coalesce(sources, F.array().cast("array<string>"))))
-    slim = docs.select(F.col(doc_id).alias("id"), size.alias("size"), F.to_json(members).alias("pattern"), members.alias("members"))
-    slim = cut(slim.withColumn("h", F.xxhash64(F.lit(seed), "id", "size")))
+    order = F.xxhash64(F.lit(seed), doc_id, text)  # ties are equal rows, which may change places
+    slim = cut(docs.select(order.alias("h"), size.alias("size"), F.to_json(members).alias("pattern"), members.alias("members"), *(F.col(c).alias(n) for c, n in zip(keep, carried))))
     per = slim.groupBy("pattern").agg(F.first("members").alias("members"), F.sum("size").alias("size"), F.count(F.lit(1)).alias("n")).limit(max_patterns + 1).collect()
     if len(per) > max_patterns:
         raise ValueError(f"more than {max_patterns} membership patterns")
@@ -134,35 +136,38 @@ def mix(
     plan = spark.createDataFrame(rows, "pattern string, sources array<struct<source string, source_size bigint, target double>>, stretches array<struct<source string, lo bigint, hi bigint>>")
     # the line: order by hash, with sums by bucket first, so that no task holds a whole pattern
     buckets = max(64, 4 * math.isqrt(sum(r["n"] for r in per)))
-    placed = slim.select("id", "size", "h", "pattern", F.pmod(F.shiftrightunsigned("h", 20), F.lit(buckets)).alias("bucket"))
+    placed = slim.where("size > 0").select(*carried, "size", "h", "pattern", F.pmod(F.shiftrightunsigned("h", 20), F.lit(buckets)).alias("bucket"))
     sums = placed.groupBy("pattern", "bucket").agg(F.sum("size").alias("length"))
     before = sums.select("pattern", "bucket", (F.sum("length").over(Window.partitionBy("pattern").orderBy("bucket")) - F.col("length")).alias("before"))
-    inner = Window.partitionBy("pattern", "bucket").orderBy("h", "id").rowsBetween(Window.unboundedPreceding, -1)
+    inner = Window.partitionBy("pattern", "bucket").orderBy("h").rowsBetween(Window.unboundedPreceding, -1)
     lined = placed.withColumn("within", F.coalesce(F.sum("size").over(inner), F.lit(0))).join(before, ["pattern", "bucket"])
     lined = lined.join(F.broadcast(plan), "pattern")  # at most max_patterns rows
     start, end = F.col("before") + F.col("within"), F.col("before") + F.col("within") + F.col("size")
     overlap = lambda x: F.greatest(F.lit(0), F.least(end, x["hi"]) - F.greatest(start, x["lo"])).cast("bigint")
     uses = F.filter(F.transform("stretches", lambda x: F.struct(x["source"].alias("source"), overlap(x).alias("words"))), lambda x: x["words"] > 0)
-    out = lined.select("id", "size", "sources", uses.alias("uses"))
+    out = lined.select(*carried, "size", "sources", uses.alias("uses"))
+    # rows without words have no place on the line
+    none = F.array().cast("array<struct<source string, words bigint>>")
+    out = out.union(slim.where("size = 0").join(F.broadcast(plan), "pattern").select(*carried, "size", "sources", none))
     out = out.withColumn("taken", F.aggregate("uses", F.lit(0).cast("bigint"), lambda a, x: a + x["words"]))
-    if keep == [doc_id]:
-        return out.withColumnRenamed("id", doc_id)
-    out = cut(out.select("id", "size", "sources", "uses", "taken"))
-    first = out.groupBy("id").agg(*(F.first(c).alias(c) for c in ("size", "sources", "uses", "taken")))
-    taken = first.select(F.col("id").alias(doc_id), "size", "sources", "uses", "taken")
-    return docs.select(*keep).join(taken.hint("shuffle_hash"), doc_id).select(*keep, "size", "sources", "uses", "taken")
+    return out.select(*(F.col(n).alias(c) for c, n in zip(keep, carried)), "size", "sources", "uses", "taken")
 
 
-def materialise(docs: DataFrame, mixed: DataFrame, doc_id: str = "doc_id", text: str = "text", max_copies: int = 2) -> DataFrame:
-    """The mix itself: each document as many times as it is taken whole, and once its leading words if taken in part.
+def materialise(docs: DataFrame, sources, weight_of: Callable[[list], list[float]], doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """The mix itself: each row as many times as it is taken whole, and once its leading words if taken in part.
 
-    A whole copy keeps its text; n_chars, where there is such a column, follows the text.
+    A whole copy keeps its text; n_chars, where there is such a column, follows the text. ``docs`` must be a
+    table that reads alike twice (files or a checkpoint): rows are told apart by their place in it. The words
+    taken of each row are written down before they are joined to the texts.
     """
-    rows = docs.join(mixed.where("taken > 0").select(F.col(doc_id), "size", "taken").dropDuplicates([doc_id]).hint("shuffle_hash"), doc_id)
-    whole, rest = F.floor(F.col("taken") / F.col("size")), F.col("taken") % F.col("size")
+    row, size, taken, copy = (f"__{x}_{len(docs.columns)}_{'_'.join(docs.columns)}" for x in ("row", "size", "taken", "copy"))
+    rows = docs.withColumn(row, F.monotonically_increasing_id())
+    mixed = cut(mix(rows, sources, weight_of, doc_id, text, keep=[row], **options).where("taken > 0").select(row, F.col("size").alias(size), F.col("taken").alias(taken)))
+    rows = rows.join(mixed.hint("shuffle_hash"), row)
+    whole, rest = F.floor(F.col(taken) / F.col(size)), F.col(taken) % F.col(size)
     part = F.array_join(F.slice(F.split(F.regexp_replace(text, r"^[\x20\x09-\x0D]+", ""), r"[\x20\x09-\x0D]+"), 1, rest.cast("int")), " ")
-    rows = rows.withColumn("__copy", F.explode(F.sequence(F.lit(1), (whole + F.when(rest > 0, 1).otherwise(0)).cast("int"))))
-    rows = rows.withColumn(text, F.when(F.col("__copy") <= whole, F.col(text)).otherwise(part))
+    rows = rows.withColumn(copy, F.explode(F.sequence(F.lit(1), (whole + F.when(rest > 0, 1).otherwise(0)).cast("int"))))
+    rows = rows.withColumn(text, F.when(F.col(copy) <= whole, F.col(text)).otherwise(part))
     if "n_chars" in docs.columns:
         rows = rows.withColumn("n_chars", F.length(text).cast(dict(docs.dtypes)["n_chars"]))
     return rows.select(*docs.columns)

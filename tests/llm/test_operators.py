@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from chronolith.llm import automata, dart, descent, importance, licences, mixing, pieces, quality_rules, recurrent, toxicity
-from chronolith.llm.common import components
+from chronolith.llm.common import components, cut
 
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint, id string, key int, h string, c int, n int, size int, v string, y int, rep int"
 
@@ -69,6 +69,40 @@ def test_mix_reaches_targets(spark, rows):
         assert abs(taken[r["sources"][0]["source"]] - r["sources"][0]["target"]) <= 1
 
 
+def test_mix_of_repeated_rows_and_null_ids(spark):
+    rows = [(5, "a b c d e f g h i j", "s"), (5, "k l", "s"), (None, "m n o p q r s t", "s"), (None, "u v", "s"), (6, "w x y", "t"), (6, "w x y", "t"), (7, None, "t"), (None, None, None)]
+    docs = spark.createDataFrame([(*r, 1) for r in rows], "doc_id bigint, text string, source string, size int")
+    mixed = mixing.materialise(cut(docs), F.array("source"), lambda s: [1.0] * len(s)).collect()
+    words = Counter()
+    for r in mixed:
+        words[r["source"]] += len(r["text"].split())
+    # 150 % of 28 words in equal shares, of which the second source can only give 12
+    assert dict(words) == {"s": 30, "t": 12}
+    assert {(r["doc_id"], r["text"][0]) for r in mixed} <= {(5, "a"), (5, "k"), (None, "m"), (None, "u"), (6, "w")} and len(mixed) > 8
+
+
+def test_flow_with_overlapping_sources(spark):
+    """Least repetition cost, against all ways to route small patterns."""
+    r = np.random.Generator(np.random.PCG64(4))
+    for _ in range(30):
+        patterns = [(["a"], int(r.integers(0, 4))), (["b"], int(r.integers(0, 4))), (["a", "b"], int(r.integers(1, 4)))]
+        quotas = {"a": int(r.integers(0, 7)), "b": int(r.integers(0, 7))}
+        got = Counter()
+        for p, s, lo, hi in mixing.route(patterns, quotas, 2):
+            assert s in patterns[p][0] and 0 <= lo < hi <= 2 * patterns[p][1]
+            got[p, s] += hi - lo
+        cost = lambda used: sum(max(0, u - size) for u, (_, size) in zip(used, patterns))
+        best = None
+        for only_a in range(min(quotas["a"], 2 * patterns[0][1]) + 1):
+            for only_b in range(min(quotas["b"], 2 * patterns[1][1]) + 1):
+                for both_a in range(min(quotas["a"] - only_a, 2 * patterns[2][1]) + 1):
+                    for both_b in range(min(quotas["b"] - only_b, 2 * patterns[2][1] - both_a) + 1):
+                        x = (-(only_a + only_b + both_a + both_b), cost((only_a, only_b, both_a + both_b)))
+                        best = x if best is None or x < best else best
+        used = [sum(v for (q, _), v in got.items() if q == p) for p in range(3)]
+        assert (-sum(used), cost(used)) == best
+
+
 def test_vectors_against_brute_force(spark):
     r = np.random.Generator(np.random.PCG64(2))
     x = r.normal(size=(300, 16))
