@@ -3,7 +3,15 @@
 Each stage takes what the one before kept: reject documents of low quality, keep one document of each group
 of near duplicates, remove passages that earlier documents have, take each source to its target share, and
 encode. ``run`` applies them in order; each stage's result is written to the checkpoint folder before the
-next one reads it.
+next one reads it. Each stage is judged on its own input:
+
+- rows with a null id are documents of their own: no stage drops them as a copy, all may reject or mix them
+- null, empty and blank texts have nothing to learn from, share or mix: they stay until the mixture, which
+  takes no words of them
+- of repeated rows of one id, and of several texts under one id, the near-duplicate stage keeps one row (the
+  text with the smallest hash)
+- very long texts go through whole; extra columns are carried along, whatever their names, up to the mixture
+- an empty table gives an empty result with the same columns
 """
 
 from __future__ import annotations
@@ -16,26 +24,38 @@ from chronolith.llm.queries import source_weights
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """What importance resampling keeps; everything if the labels don't tell good from bad."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     return importance.classify(docs, labels, keep=docs.columns).where("kept").select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    dropped = dart.near_duplicates(docs).where("NOT kept").select("doc_id").distinct()
-    return docs.join(dropped.hint("shuffle_hash"), "doc_id", "left_anti").select(*docs.columns)
+    """One document of each group of near duplicates, and one row of each id that isn't null."""
+    found = cut(dart.near_duplicates(docs))
+    dropped = found.where("NOT kept").select("doc_id").distinct()
+    rest = docs.join(dropped.hint("shuffle_hash"), "doc_id", "left_anti").select(*docs.columns)
+    again = cut(found.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id"))
+    if not again.take(1):
+        return rest
+    one = rest.join(again.hint("shuffle_hash"), "doc_id", "left_semi").select(*docs.columns)
+    one = one.groupBy(F.col("doc_id").alias("id")).agg(F.min_by(F.struct(*docs.columns), F.xxhash64("text")).alias("x")).select("x.*")
+    return rest.join(again.hint("shuffle_hash"), "doc_id", "left_anti").select(*docs.columns).unionByName(one)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the words of passages that a smaller id has too; a text left whole is unchanged."""
     rest = automata.remove_repeats(docs, keep=[c for c in docs.columns if c not in ("text", "n_chars")])
     out = rest.withColumn("text", F.col("kept_text")).withColumn("n_chars", F.length("kept_text").cast("bigint"))
     return out.select(*docs.columns)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mixing.materialise(docs, mixing.mix(docs, F.array("source"), source_weights))
+    """Each source at its target share of words: rows taken whole, twice, in part (leading words) or not at all."""
+    return mixing.materialise(docs, F.array("source"), source_weights)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of two sampled segmentations of each row; other columns end here."""
     return pieces.encode(docs)
 
 
