@@ -33,6 +33,8 @@ from . import bytetext as bt
 from .common import cut, release, ship
 
 HEAD, LISTED, HIDDEN, STEPS = 1024, 65_536, 16, 32
+#: Documents that a partition's training reads side by side.
+LANES = 512
 #: Stands for the end of a document among the hashes of words.
 END = np.uint64(0xE17D0FD0C5A11ED5)
 
@@ -133,6 +135,15 @@ def _sigmoid(x):
     return np.reciprocal(x, out=x)
 
 
+def _bounded(h: np.ndarray, w: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Logits, shifted so that their exponentials neither overflow nor all vanish; states lie in -1 to 1."""
+    x = h @ w
+    x += b
+    if float((np.abs(b) + np.abs(w).sum(0)).max()) > 60:
+        x -= x.max(1, keepdims=True)
+    return x
+
+
 class Network:
     def __init__(self, c: Classes, seed: int, dim: int = 24):
         r, f, h = np.random.Generator(np.random.PCG64(seed)), np.float32, HIDDEN
@@ -166,67 +177,102 @@ class Network:
     def log_probs(self, h: np.ndarray, cls: np.ndarray, rank: np.ndarray, inside: np.ndarray, back: bool = False):
         """Natural log probability of each token at its state; with ``back`` also the gradients of their negated sum."""
         p, c = self.p, self.c
-        x = h @ p["oc"] + p["bc"]
-        x -= x.max(1, keepdims=True)
+        x = _bounded(h, p["oc"], p["bc"])
         at = np.arange(len(cls))
         own = x[at, cls]
         np.exp(x, out=x)
-        total = x.sum(1)
+        total = x @ np.ones(c.n, np.float32)
         out = own - np.log(total) + inside
         if back:
             x /= total[:, None]
             x[at, cls] -= 1
-            grad = {"oc": h.T @ x, "bc": x.sum(0), "ow": np.zeros_like(p["ow"]), "bw": np.zeros_like(p["bw"])}
+            grad = {"oc": h.T @ x, "bc": np.ones(len(x), np.float32) @ x, "ow": np.zeros_like(p["ow"]), "bw": np.zeros_like(p["bw"])}
             dh = x @ p["oc"].T
         heads = np.flatnonzero(rank >= 0)
-        heads = heads[np.argsort(cls[heads], kind="stable")]
+        heads = heads[np.argsort(cls[heads].astype(np.int16 if c.n < 1 << 15 else np.int64), kind="stable")]
         cuts = np.searchsorted(cls[heads], np.arange(c.n_head + 1))
         for k in range(c.n_head):
             a, b = c.edges[k], c.edges[k + 1]
             rows = heads[cuts[k] : cuts[k + 1]]
             if b - a < 2 or not len(rows):
                 continue
-            y = h[rows] @ p["ow"][:, a:b] + p["bw"][a:b]
-            y -= y.max(1, keepdims=True)
+            own_h = h.take(rows, axis=0)
+            y = _bounded(own_h, p["ow"][:, a:b], p["bw"][a:b])
             i, t = np.arange(len(rows)), rank[rows] - a
             own = y[i, t]
             np.exp(y, out=y)
-            total = y.sum(1)
+            total = y @ np.ones(b - a, np.float32)
             out[rows] += own - np.log(total)
             if back:
                 y /= total[:, None]
                 y[i, t] -= 1
-                grad["ow"][:, a:b] = h[rows].T @ y
-                grad["bw"][a:b] = y.sum(0)
+                grad["ow"][:, a:b] = own_h.T @ y
+                grad["bw"][a:b] = np.ones(len(y), np.float32) @ y
                 dh[rows] += y @ p["ow"][:, a:b].T
         return (out, grad, dh) if back else out
 
     def train_window(self, h: np.ndarray, sym: np.ndarray, cls: np.ndarray, rank: np.ndarray, inside: np.ndarray, rate: float) -> np.ndarray:
         """One step on a window: sym (steps, lanes) are the tokens before the targets; the start resets the state. Gives the state after it."""
         p, k = self.p, HIDDEN
-        table, keep, states = self.inputs(), [], []
-        fresh = sym == self.c.start
-        for t in range(len(sym)):
-            h = np.where(fresh[t][:, None], 0, h).astype(np.float32)
-            h = self.next(h, table[sym[t]], keep)
-            states.append(h)
-        _, grad, dout = self.log_probs(np.concatenate(states), cls.reshape(-1), rank.reshape(-1), inside.reshape(-1), True)
-        dout = dout.reshape(len(sym), -1, k)
-        grad["u"] = np.zeros_like(p["u"])
-        dtable = np.zeros_like(table)
-        carried = np.zeros_like(h)
-        for t in range(len(sym) - 1, -1, -1):
-            before, g, n, an = keep[t]
-            z, r = g[:, :k], g[:, k:]
-            d = dout[t] + carried
-            dn = d * (1 - z) * (1 - n * n)
-            dz = d * (before - n) * z * (1 - z)
-            dr = dn * an * r * (1 - r)
-            da = np.hstack([dz, dr, dn * r])
-            np.add.at(dtable, sym[t], np.hstack([dz, dr, dn]))
-            grad["u"] += before.T @ da
-            carried = np.where(fresh[t][:, None], 0, d * z + da @ p["u"].T)
-        grad["e"], grad["wx"], grad["bx"] = dtable @ p["wx"].T, p["e"].T @ dtable, dtable.sum(0)
+        f, (steps, lanes) = np.float32, sym.shape
+        n = steps * lanes
+        flat = sym.reshape(-1).astype(np.int16 if self.c.start < 1 << 15 else np.int64)
+        # units first, then steps, then lanes, so that each gate is one block of memory
+        x = np.ascontiguousarray(self.inputs().take(flat, axis=0).T).reshape(3 * k, steps, lanes)
+        alive = (sym != self.c.start).astype(f)
+        before, states, new, an = (np.empty((k, steps, lanes), f) for _ in range(4))
+        g, ut = np.empty((2 * k, steps, lanes), f), np.ascontiguousarray(p["u"].T)
+        h = np.ascontiguousarray(h.T)
+        for t in range(steps):
+            h = h * alive[t]
+            a = ut @ h
+            gate = a[: 2 * k]
+            gate += x[: 2 * k, t]
+            _sigmoid(gate)
+            m = gate[k:] * a[2 * k :]
+            m += x[2 * k :, t]
+            np.tanh(m, out=m)
+            before[:, t], g[:, t], an[:, t], new[:, t] = h, gate, a[2 * k :], m
+            h = h - m
+            h *= gate[:k]
+            h += m
+            states[:, t] = h
+        _, grad, dout = self.log_probs(np.ascontiguousarray(states.reshape(k, n).T), cls.reshape(-1), rank.reshape(-1), inside.reshape(-1), True)
+        dout = np.ascontiguousarray(dout.T).reshape(k, steps, lanes)
+        # what doesn't depend on later steps, for all steps at once
+        z, r = g[:k], g[k:]
+        rest = 1 - z
+        by_z = (before - new) * z
+        by_z *= rest
+        by_n = new * new
+        np.subtract(1, by_n, out=by_n)
+        by_n *= rest
+        by_r = 1 - r
+        by_r *= r
+        by_r *= an
+        da, carried = np.empty((3 * k, steps, lanes), f), np.zeros((k, lanes), f)
+        part = np.empty((3 * k, lanes), f)
+        for t in range(steps - 1, -1, -1):
+            d = dout[:, t] + carried
+            np.multiply(d, by_z[:, t], out=part[:k])
+            dn = d * by_n[:, t]
+            np.multiply(dn, by_r[:, t], out=part[k : 2 * k])
+            np.multiply(dn, r[:, t], out=part[2 * k :])
+            carried = p["u"] @ part
+            d *= z[:, t]
+            carried += d
+            carried *= alive[t]
+            da[:, t] = part
+            by_n[:, t] = dn
+        da = da.reshape(3 * k, n)
+        grad["u"] = before.reshape(k, n) @ da.T
+        da[2 * k :] = by_n.reshape(k, n)
+        grad["wx"], grad["bx"] = p["e"].take(flat, axis=0).T @ da.T, da @ np.ones(n, f)
+        grad["e"] = np.zeros_like(p["e"])
+        order = np.argsort(flat, kind="stable")
+        flat = flat[order]
+        cuts = np.flatnonzero(np.diff(flat, prepend=-1))
+        grad["e"][flat[cuts]] = np.add.reduceat((da.T @ p["wx"].T).take(order, axis=0), cuts)
         scale = 1 / cls.size
         norm = math.sqrt(sum(float((g * g).sum()) for g in grad.values())) * scale
         scale *= min(1.0, 1.0 / max(norm, 1e-9))
@@ -237,7 +283,7 @@ class Network:
             m += 0.1 * (g - m)
             v += 0.005 * (g * g - v)
             p[name] -= rate * (m / (1 - 0.9**self.steps)) / (np.sqrt(v / (1 - 0.995**self.steps)) + 1e-7)
-        return h
+        return h.T
 
     def fit(self, docs: list[tuple], epochs: int, lanes: int, seed: int, rate: float = 0.01, last: float = 0.05) -> None:
         """``docs``: (cls, rank, inside) of each document's tokens. The rate falls to its share ``last``."""
@@ -308,6 +354,12 @@ def _counts(c: Classes, h: np.ndarray, row: np.ndarray, hs: pa.Array, cs: pa.Arr
     return place, n
 
 
+def _own(h: np.ndarray, row: np.ndarray) -> np.ndarray:
+    """How often each token occurs in its own document."""
+    _, inverse, own = np.unique(bt.mix(h ^ bt.mix(row.astype(np.uint64))), return_inverse=True, return_counts=True)
+    return own[inverse]
+
+
 def rare_counts(docs: DataFrame, counts: DataFrame, classes: Classes) -> DataFrame:
     """Rows (key, h, c): the counted words of each text of rows (key, text) that aren't in the list, and their counts."""
     spark = docs.sparkSession
@@ -341,14 +393,10 @@ def train_on_all(net: Network, docs: DataFrame, found: DataFrame, seed: int, rat
             for i, j, data, off in bt.slices(b.column(0)):
                 h, row = tokens(data, off)
                 place, n = _counts(net.c, h, row, b.column(1).slice(i, j - i), b.column(2).slice(i, j - i))
+                cls, rank, inside = net.c.of(place, np.maximum(n - _own(h, row), 0))
                 at = bt.runs(row, j - i)
-                sample = []
-                for a, z in zip(at[:-1], at[1:]):
-                    _, inverse, own = np.unique(h[a:z], return_inverse=True, return_counts=True)
-                    sample.append(net.c.of(place[a:z], np.maximum(n[a:z] - own[inverse], 0)))
-                if sample:
-                    net.fit(sample, 1, 64, seed, rate, 1.0)
-                    seen += len(h)
+                net.fit([(cls[a:z], rank[a:z], inside[a:z]) for a, z in zip(at[:-1], at[1:])], 1, LANES, seed, rate, 1.0)
+                seen += len(h)
         if seen:
             yield pa.RecordBatch.from_arrays([pa.array([seen]), pa.array([np.concatenate([x.ravel() for x in net.p.values()]).astype(np.float32).tobytes()])], names=["n", "p"])
 
