@@ -9,12 +9,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from chronolith import model
+from chronolith import competency, model
 from chronolith.functions import intervals as iv, text as tx
 from chronolith.model import AS_OF
-from chronolith.operators import checks, enrich, graph, hierarchy, resolve
+from chronolith.operators import checks, enrich, graph, hierarchy, mentions, resolve
 from chronolith.plans import semantic
-from chronolith.sources import documents as sources
+from chronolith.sources import documents as sources, transforms
 from chronolith.streaming import state
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -48,7 +48,11 @@ def _v(name: str):
 
 # --- scans, filters, paging -------------------------------------------------------------------------------------
 
-_same("s01_page_walk", "SELECT page, count(*) AS n, min(member) AS first_member, max(member) AS last_member FROM (SELECT member, CAST(floor((row_number() OVER (ORDER BY member) - 1) / 100.0) AS BIGINT) AS page FROM members) t GROUP BY page")
+_same(
+    "s01_page_walk",
+    """SELECT CAST(floor(member / 100.0) AS BIGINT) AS page, count(*) AS n, min(member) AS first_member, max(member) AS last_member
+       FROM members GROUP BY CAST(floor(member / 100.0) AS BIGINT)""",
+)
 _same("p01_equals", "SELECT bill, kind FROM bills WHERE status = 'F' AND bill_year = 1999")
 _same("p02_not_equals", "SELECT bill FROM bills WHERE status <> 'F' AND kind <> '5-LOW'")
 _same("p03_ranges", "SELECT id, member FROM memberships WHERE s >= DATE '1999-01-01' AND s < DATE '1999-04-01' AND e IS NOT NULL")
@@ -150,7 +154,19 @@ def _(spark, sf_dir):
 
 
 _same("a10_streak", "WITH r AS (SELECT user_id, event_type, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS k FROM events), f AS (SELECT user_id, min(CASE WHEN event_type <> 'error' THEN k END) AS ok, count(*) AS n FROM r GROUP BY user_id) SELECT user_id, CAST(coalesce(ok - 1, n) AS BIGINT) AS streak FROM f")
-_same("a11_percentiles", "WITH r AS (SELECT l_returnflag AS k, l_quantity AS v, row_number() OVER (PARTITION BY l_returnflag ORDER BY l_quantity) AS i, count(*) OVER (PARTITION BY l_returnflag) AS n FROM lineitem) SELECT k, max(CASE WHEN i = CAST(floor(0.25 * (n - 1) + 0.5) AS BIGINT) + 1 THEN v END) AS p25, max(CASE WHEN i = CAST(floor(0.5 * (n - 1) + 0.5) AS BIGINT) + 1 THEN v END) AS p50, max(CASE WHEN i = CAST(floor(0.99 * (n - 1) + 0.5) AS BIGINT) + 1 THEN v END) AS p99, min(v) AS least, max(v) AS most FROM r GROUP BY k")
+_same(
+    "a11_percentiles",
+    """WITH v AS (SELECT l_returnflag AS k, l_quantity AS v, count(*) AS c FROM lineitem GROUP BY l_returnflag, l_quantity),
+        r AS (SELECT k, v, sum(c) OVER (PARTITION BY k ORDER BY v) AS upto, sum(c) OVER (PARTITION BY k ORDER BY v) - c AS before,
+                     sum(c) OVER (PARTITION BY k) AS n FROM v)
+        SELECT k, max(CASE WHEN before <= CAST(floor(0.25 * (n - 1) + 0.5) AS BIGINT) AND CAST(floor(0.25 * (n - 1) + 0.5) AS BIGINT) < upto THEN v END) AS p25,
+               max(CASE WHEN before <= CAST(floor(0.5 * (n - 1) + 0.5) AS BIGINT) AND CAST(floor(0.5 * (n - 1) + 0.5) AS BIGINT) < upto THEN v END) AS p50,
+               max(CASE WHEN before <= CAST(floor(0.75 * (n - 1) + 0.5) AS BIGINT) AND CAST(floor(0.75 * (n - 1) + 0.5) AS BIGINT) < upto THEN v END) AS p75,
+               max(CASE WHEN before <= CAST(floor(0.9 * (n - 1) + 0.5) AS BIGINT) AND CAST(floor(0.9 * (n - 1) + 0.5) AS BIGINT) < upto THEN v END) AS p90,
+               max(CASE WHEN before <= CAST(floor(0.99 * (n - 1) + 0.5) AS BIGINT) AND CAST(floor(0.99 * (n - 1) + 0.5) AS BIGINT) < upto THEN v END) AS p99,
+               min(v) AS least, max(v) AS most, round(sum(v * (upto - before)) / max(n), 6) AS mean
+        FROM r GROUP BY k""",
+)
 _same("a12_metrics", "SELECT sum(CASE WHEN quality = 1 AND toxic = 0 THEN 1 ELSE 0 END) AS hit, sum(CASE WHEN quality = 1 AND toxic = 1 THEN 1 ELSE 0 END) AS false_hit, sum(CASE WHEN quality = 0 AND toxic = 0 THEN 1 ELSE 0 END) AS missed, round(CAST(sum(CASE WHEN quality = 1 AND toxic = 0 THEN 1 ELSE 0 END) AS DOUBLE) / sum(quality), 6) AS score FROM labels")
 _same("a13_rollup", "SELECT term_no, party, count(*) AS n FROM memberships GROUP BY ROLLUP (term_no, party)")
 _same("a14_sponsor_rollup", "SELECT bill, count(DISTINCT sponsor) AS sponsors, sum(CASE WHEN is_primary THEN 1 ELSE 0 END) AS primary_rows, min(sponsor) AS first_sponsor FROM participations GROUP BY bill")
@@ -386,3 +402,117 @@ def _(spark, sf_dir):
 @_frame("g02_graph_hashes", """SELECT 'urn:x:bill/' || bill AS g, 2::BIGINT AS n, sha256('<urn:x:bill/' || bill || '> <urn:x:status> "' || status || '" .' || chr(10) || '<urn:x:bill/' || bill || '> <urn:x:year> "' || bill_year || '"^^<int> .') AS hash FROM bills""")
 def _(spark, sf_dir):
     return graph.graph_hashes(_quads(spark, sf_dir).where("family = 'bill'"))
+
+
+# --- resolution, enrichment, episodes ------------------------------------------------------------------------------
+
+@_frame(
+    "e04_mentions",
+    """WITH labels AS (SELECT DISTINCT label FROM concepts),
+        t AS (SELECT doc_id, regexp_extract_all(lower(nfc_normalize(coalesce(text, ''))), '[\\p{L}\\p{N}]+') AS w FROM documents),
+        l AS (SELECT label, regexp_extract_all(label, '[\\p{L}\\p{N}]+') AS w FROM labels),
+        spots AS (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS place FROM t),
+        hits AS (SELECT a.doc_id, l.label, a.place, len(l.w) AS words FROM spots a JOIN l ON l.w[1] = a.w[a.place] AND a.w[a.place : a.place + len(l.w) - 1] = l.w WHERE len(l.w) > 0),
+        marked AS (SELECT *, max(place + words) OVER (PARTITION BY doc_id ORDER BY place RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach,
+                   max(place + words) OVER (PARTITION BY doc_id, place) AS own FROM hits)
+        SELECT DISTINCT doc_id, label, place, words FROM marked WHERE coalesce(reach, 0) < place + words AND own = place + words""",
+)
+def _(spark, sf_dir):
+    found = mentions.detect(_v("documents")(spark, sf_dir), _v("concepts")(spark, sf_dir), "doc_id", "text", "concept", "label")
+    return found.select("doc_id", "label", F.col("at").alias("place"), "words").distinct()
+
+
+@_frame(
+    "e07_name_tokens",
+    """WITH said AS (SELECT member AS m, CASE WHEN member % 4 = 0 THEN name WHEN member % 4 = 1 THEN concat('Deputy ', substring(name, 10, 9))
+                   WHEN member % 4 = 2 THEN substring(name, 10, 9) ELSE concat('Senator ', name) END AS said FROM members),
+        serving AS (SELECT DISTINCT member FROM memberships WHERE e IS NULL)
+        SELECT s.m, CASE WHEN s.m % 4 = 2 THEN 'refused' WHEN s.m % 4 <> 1 THEN 'resolved'
+            WHEN v.member IS NOT NULL THEN 'resolved' ELSE 'unresolved' END AS status,
+            CASE WHEN s.m % 4 = 2 THEN NULL WHEN s.m % 4 <> 1 THEN s.m ELSE v.member END AS member
+        FROM said s LEFT JOIN serving v ON v.member = s.m""",
+)
+def _(spark, sf_dir):
+    people = _v("members")(spark, sf_dir)
+    serving = _v("memberships")(spark, sf_dir).where("e IS NULL").select("member", F.lit(True).alias("serves")).distinct()
+    said = people.select(F.col("member").alias("m"), F.expr("CASE WHEN member % 4 = 0 THEN name WHEN member % 4 = 1 THEN concat('Deputy ', substring(name, 10, 9)) WHEN member % 4 = 2 THEN substring(name, 10, 9) ELSE concat('Senator ', name) END").alias("said"))
+    known = people.join(serving, "member", "left").withColumn("serves", F.coalesce("serves", F.lit(False)))
+    return mentions.by_name(said, known, "m", "said", "member", "name", F.col("serves"))
+
+
+@_frame(
+    "h05_nearest",
+    """WITH q AS (SELECT vec_id AS name, label AS concept, embedding::DOUBLE[] AS v FROM embeddings WHERE vec_id % 20 = 0),
+        x AS (SELECT CAST(floor(vec_id / 2.0) AS BIGINT) AS doc, embedding::DOUBLE[] AS v FROM embeddings),
+        s AS (SELECT x.doc, q.concept, q.name, round(list_cosine_similarity(x.v, q.v), 6) AS score FROM x, q),
+        one AS (SELECT doc, concept, name, score, row_number() OVER (PARTITION BY doc, concept ORDER BY score DESC, name) AS p FROM s WHERE score >= 0.54),
+        best AS (SELECT doc, concept, name, score, row_number() OVER (PARTITION BY doc ORDER BY score DESC, name, concept) AS rank FROM one WHERE p = 1)
+        SELECT doc, concept, name AS label, score, rank FROM best WHERE rank <= 5""",
+)
+def _(spark, sf_dir):
+    vectors = _v("embeddings")(spark, sf_dir)
+    # the query set of searches: every id divisible by 20
+    asked = vectors.where("vec_id % 20 = 0").select(F.col("vec_id").alias("name"), F.col("label").alias("concept"), "embedding")
+    rows = vectors.select(F.floor(F.col("vec_id") / 2).alias("doc"), "embedding")
+    return enrich.nearest(rows, asked, "doc", "embedding", "concept", "name", "embedding")
+
+
+@_frame(
+    "a16_cabinet_episodes",
+    """WITH h AS (SELECT DISTINCT id, member, s, e FROM office_holdings WHERE cabinet AND (e IS NULL OR s <= e)),
+        r AS (SELECT *, max(coalesce(e + 1, DATE '9999-12-31')) OVER (PARTITION BY member ORDER BY s, id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM h),
+        n AS (SELECT *, sum(CASE WHEN reach IS NULL OR s > reach THEN 1 ELSE 0 END) OVER (PARTITION BY member ORDER BY s, id ROWS UNBOUNDED PRECEDING) AS k FROM r)
+        SELECT member, min(s) AS s, nullif(max(coalesce(e, DATE '9999-12-31')), DATE '9999-12-31') AS e, count(*) AS n,
+               array_to_string(list_sort(list(DISTINCT CAST(id AS VARCHAR))), ',') AS support FROM n GROUP BY member, k""",
+)
+def _(spark, sf_dir):
+    held = _v("office_holdings")(spark, sf_dir).where("cabinet AND (e IS NULL OR s <= e)").select("id", "member", "s", "e").distinct()
+    return transforms.episodes(held, ["member"], "id")
+
+
+@_frame(
+    "r01_policy_round",
+    """WITH st AS (SELECT resource, max(hash) AS hash, max(kind) AS kind, count(*) AS n FROM observations GROUP BY resource),
+        cand AS (SELECT DISTINCT resource, kind AS identity FROM observations WHERE value > 180),
+        k AS (SELECT resource, count(DISTINCT identity) AS n, min(identity) AS one FROM cand GROUP BY resource)
+        SELECT st.resource, CASE WHEN st.resource % 10 = 0 THEN 'stale review' WHEN st.resource % 10 = 1 THEN 'rejected'
+                 WHEN st.resource % 3 <> 0 THEN 'settled' WHEN coalesce(k.n, 0) = 0 THEN 'pending' WHEN k.n = 1 THEN 'accepted' ELSE 'ambiguous' END AS status,
+               CASE WHEN st.resource % 10 = 0 THEN 'old' WHEN st.resource % 10 = 1 THEN NULL WHEN st.resource % 3 <> 0 THEN 'old' WHEN k.n = 1 THEN k.one END AS identity
+        FROM st LEFT JOIN k ON k.resource = st.resource""",
+)
+def _(spark, sf_dir):
+    seen = _v("observations")(spark, sf_dir)
+    old = seen.groupBy("resource").agg(F.max("hash").alias("hash")).select("resource", "hash", F.lit("old").alias("identity"), F.lit("settled").alias("status"), (F.col("resource") % 3 == 0).alias("dirty"), F.lit("2025-01-01").cast("timestamp").alias("next_check"))
+    candidates = seen.where("value > 180").select("resource", F.col("kind").alias("identity"))
+    reviews = old.where("resource % 10 < 2").select("resource", F.when(F.col("resource") % 10 == 0, "other").otherwise(F.col("hash")).alias("hash"), F.lit("rejected").alias("decision"), F.lit(None).cast("string").alias("identity"))
+    return resolve.reconcile(old, candidates, reviews, "2024-06-01").select("resource", "status", "identity")
+
+
+@_frame(
+    "h03_subject_search",
+    """WITH RECURSIVE up(node, ancestor) AS (SELECT concept, concept FROM concepts
+            UNION ALL SELECT u.node, c.broader FROM up u JOIN concepts c ON c.concept = u.ancestor WHERE c.broader IS NOT NULL)
+        SELECT DISTINCT d.page_id AS item, u.ancestor AS subject FROM pages d JOIN up u ON u.node = d.page_id % (SELECT count(*) FROM concepts) WHERE u.ancestor IN (1, 2, 5)""",
+)
+def _(spark, sf_dir):
+    tree = _v("concepts")(spark, sf_dir).select(F.col("concept").alias("child"), F.col("broader").alias("parent"))
+    n = tree.count()
+    linked = _v("pages")(spark, sf_dir).select(F.col("page_id").alias("item"), (F.col("page_id") % n).alias("concept"))
+    return hierarchy.subject_search(linked, tree, "item", "concept", [1, 2, 5])
+
+
+@_frame("f09_percent_encoding", "SELECT page_id, url_encode(url) AS coded FROM pages")
+def _(spark, sf_dir):
+    return _v("pages")(spark, sf_dir).select("page_id", mentions.percent_encoded(F.col("url")).alias("coded"))
+
+
+@_frame("f26_redaction", """SELECT page_id, concat('GET ', url, ' token=***') AS line FROM pages""")
+def _(spark, sf_dir):
+    line = F.concat(F.lit("GET "), "url", F.lit(" token=abc"), F.col("page_id").cast("string"))
+    return _v("pages")(spark, sf_dir).select("page_id", mentions.redact(line).alias("line"))
+
+
+# --- named views and question families ---------------------------------------------------------------------------
+
+for _name, _text in competency.STATEMENTS.items():
+    _same(_name, _text)

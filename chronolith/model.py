@@ -35,6 +35,16 @@ VIEWS = {
     "concepts": """SELECT item_id AS concept, CASE WHEN item_id = 0 THEN NULL ELSE CAST(floor((item_id - 1) / 3.0) AS BIGINT) END AS broader,
         lower(regexp_extract(text, '^[ \t\r\n]*[^ \t\r\n]+([ \t\r\n]+[^ \t\r\n]+)?([ \t\r\n]+[^ \t\r\n]+)?', 0)) AS label FROM benchmark""",
     "observations": "SELECT event_id, user_id AS resource, ts AS observed_at, event_type AS kind, sha256(coalesce(props, '')) AS hash, value FROM events",
+    "services": """SELECT o_orderkey AS id, o_custkey AS member, CASE WHEN o_orderkey % 4 = 0 THEN 'seanad' ELSE 'dail' END AS house,
+        CAST(year(o_orderdate) - 1994 AS INT) AS term_no, CAST(o_orderkey % 25 AS INT) AS constituency, CAST(o_orderdate AS DATE) AS s,
+        CASE WHEN o_orderstatus = 'O' THEN NULL ELSE CAST(o_orderdate AS DATE) + CAST(o_orderkey % 120 AS INT) END AS e FROM orders""",
+    "houses": "SELECT r_regionkey AS house, r_name AS name FROM region",
+    "constituencies": "SELECT n_nationkey AS constituency, n_name AS name, n_regionkey AS house FROM nation",
+    "committees": """SELECT s_suppkey AS committee, s_name AS name, s_nationkey AS code,
+        CASE WHEN s_suppkey % 3 = 0 THEN 'joint' WHEN s_suppkey % 3 = 1 THEN 'select' ELSE 'standing' END AS kind FROM supplier""",
+    "sittings": "SELECT event_id AS sitting, user_id AS record, event_type AS body, CAST(ts AS DATE) AS day FROM events",
+    "votes": """SELECT l_orderkey AS division, l_linenumber AS line, l_suppkey AS member,
+        CASE WHEN l_returnflag = 'R' THEN 'ta' WHEN l_returnflag = 'A' THEN 'nil' ELSE 'staon' END AS side FROM lineitem""",
 }
 #: Fixed value: the date on which "current" is judged.
 AS_OF = "DATE '2000-06-30'"
@@ -51,34 +61,35 @@ def used(text: str) -> set[str]:
     return {v for v in VIEWS if v in words}
 
 
-def with_views(text: str) -> str:
-    """The statement with the model views that it names in front, for DuckDB."""
-    names = _ordered(used(text))
-    if not names:
+def _headed(heads: list[tuple[str, str]], text: str) -> str:
+    """The statement with named selects in front of its own."""
+    if not heads:
         return text
-    head = ",\n".join(f"{v} AS ({VIEWS[v]})" for v in names)
+    head = ",\n".join(f"{name} AS ({select})" for name, select in heads)
     body = text.strip()
-    if body.upper().startswith("WITH RECURSIVE"):
-        return f"WITH RECURSIVE {head},\n{body[14:]}"
-    if body.upper().startswith("WITH"):
-        return f"WITH {head},\n{body[4:]}"
+    for start in ("WITH RECURSIVE", "WITH"):
+        if body.upper().startswith(start):
+            return f"{start} {head},\n{body[len(start):]}"
     return f"WITH {head}\n{body}"
 
 
+def with_views(text: str) -> str:
+    """The statement with the model views that it names in front, for DuckDB."""
+    return _headed([(v, VIEWS[v]) for v in _ordered(used(text))], text)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def sql(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
-    """Run a statement over the driver tables and model views it names."""
+    """Run a statement over the driver tables and model views it names; the session's own views are left alone."""
     import re
 
     full = with_views(text)
     words = set(re.findall(r"\w+", full))
-    for t in TABLES:
-        if t in words:
-            table(spark, sf_dir, t).createOrReplaceTempView(t)
-    return spark.sql(re.sub(r"\bsha256\(((?:[^()]|\((?:[^()]|\([^()]*\))*\))*)\)", r"sha2(\1, 256)", full))
+    full = re.sub(r"\bsha256\(((?:[^()]|\((?:[^()]|\([^()]*\))*\))*)\)", r"sha2(\1, 256)", full)
+    return spark.sql(_headed([(t, f"SELECT * FROM parquet.`{sf_dir}/{t}.parquet`") for t in TABLES if t in words], full))
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

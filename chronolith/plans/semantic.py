@@ -24,9 +24,28 @@ FACTS = {
     "bill_status": ("bills", "bill", "status"),
     "bill_year": ("bills", "bill", "bill_year"),
     "bill_sponsor": ("participations", "bill", "sponsor"),
+    "member_home": ("members", "member", "home"),
+    "member_collection": ("members", "member", "code"),
+    "membership_start": ("memberships", "id", "s"),
+    "membership_end": ("memberships", "id", "e"),
+    "membership_term": ("memberships", "id", "term_no"),
+    "committee_name": ("committees", "committee", "name"),
+    "committee_kind": ("committees", "committee", "kind"),
+    "constituency_name": ("constituencies", "constituency", "name"),
+    "house_name": ("houses", "house", "name"),
+    "constituency_house": ("constituencies", "constituency", "house"),
+    "office_type": ("office_holdings", "office", "office_type"),
+    "bill_kind": ("bills", "bill", "kind"),
+    "debate_date": ("sittings", "record", "day"),
+    "debate_body": ("sittings", "record", "body"),
+    "concept_label": ("concepts", "concept", "label"),
 }
+#: Facts whose object names its subject.
+LABELS = ("member_name", "committee_name", "constituency_name", "house_name", "concept_label")
+#: Facts that hold on a day or during a term.
+DATED = ("member_membership", "member_constituency", "member_party", "member_committee", "member_office", "office_type")
 OPERATORS = {"eq": "=", "ne": "<>", "lt": "<", "le": "<=", "gt": ">", "ge": ">=", "exists": "IS NOT NULL"}
-SHAPES = ("list", "count", "boolean", "grouped_result")
+SHAPES = ("list", "count", "boolean", "grouped_result", "entity", "entities", "label", "fact")
 
 
 @dataclass(frozen=True)
@@ -60,6 +79,16 @@ class Plan:
             raise ValueError(f"not in the closed vocabulary: {bad or self.shape}")
 
 
+def answer_role(plan: Plan) -> str:
+    """The name that the answer is about: the target, or for a label the entity's own name, which must be one."""
+    if plan.shape != "label":
+        return plan.target
+    names = {r.object for r in plan.requirements if r.fact in LABELS and r.subject == plan.target}
+    if len(names) != 1:
+        raise ValueError(f"{plan.target} has no single label: {sorted(names)}")
+    return names.pop()
+
+
 def compile_plan(spark: SparkSession, sf_dir: str, plan: Plan) -> DataFrame:
     """Requirements become inner joins on the names they share; two requirements without one are refused, as they would be a cross join."""
     plan.check()
@@ -72,7 +101,7 @@ def compile_plan(spark: SparkSession, sf_dir: str, plan: Plan) -> DataFrame:
         todo.remove(r)
         view, s, o = FACTS[r.fact]
         df = model.view(spark, sf_dir, view)
-        if plan.on and "s" in df.columns:
+        if plan.on and r.fact in DATED:
             df = df.where(iv.contains(F.col("s"), F.col("e"), F.lit(plan.on).cast("date")))
         df = df.select(F.col(s).alias(r.subject), F.col(o).alias(r.object)).distinct()
         out = df if out is None else out.join(df, sorted({r.subject, r.object} & seen))
@@ -81,8 +110,11 @@ def compile_plan(spark: SparkSession, sf_dir: str, plan: Plan) -> DataFrame:
         c = F.col(f.target)
         value = F.lit(f.value)
         out = out.where({"eq": c == value, "ne": c != value, "lt": c < value, "le": c <= value, "gt": c > value, "ge": c >= value, "exists": c.isNotNull()}[f.operator])
-    if plan.shape == "list":
-        return out.select(plan.target).distinct()
+    if plan.shape in ("list", "entities", "label", "fact"):
+        return out.select(answer_role(plan)).distinct()
+    if plan.shape == "entity":
+        one = out.agg(F.countDistinct(plan.target).alias("n"), F.min(plan.target).alias(plan.target))
+        return one.select(F.when(F.col("n") == 1, F.col(plan.target)).alias(plan.target), F.when(F.col("n") == 1, "resolved").when(F.col("n") > 1, "ambiguous").otherwise("unresolved").alias("status"))
     if plan.shape == "count":
         return out.agg(F.countDistinct(plan.target).alias("n"))
     if plan.shape == "boolean":

@@ -39,11 +39,58 @@ def due(df: DataFrame, cursor, upper, overlap_seconds: int = 3600, at: str = "ob
     return df.where((F.col(at) >= F.lit(cursor) - F.make_interval(secs=F.lit(overlap_seconds))) & (F.col(at) <= F.lit(upper)))
 
 
-def run_stream(spark: SparkSession, source: DataFrame, state_path: str, checkpoint: str) -> None:
-    """Drain a streaming source into versioned state: each micro-batch writes the next version, named by its number,
-    so that a batch that runs again writes the same version again."""
+BUCKETS = 64
+
+
+def _fs(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def _versions(spark: SparkSession, state_path: str, before: int | None = None) -> dict[int, int]:
+    """Bucket -> its last version (below ``before``), from the folder names."""
+    out: dict[int, int] = {}
+    fs, top = _fs(spark, state_path)
+    if not fs.exists(top):
+        return out
+    for b in fs.listStatus(top):
+        if not b.getPath().getName().startswith("bucket="):
+            continue
+        done = [int(v.getPath().getName()[2:]) for v in fs.listStatus(b.getPath()) if v.getPath().getName().startswith("v=") and fs.exists(_fs(spark, v.getPath().toString() + "/_SUCCESS")[1])]
+        done = [v for v in done if before is None or v < before]
+        if done:
+            out[int(b.getPath().getName()[7:])] = max(done)
+    return out
+
+
+def read_state(spark: SparkSession, state_path: str, before: int | None = None, buckets: list[int] | None = None) -> DataFrame | None:
+    """The last state of each bucket (or of some), or None if there is none yet."""
+    paths = [f"{state_path}/bucket={b}/v={v}" for b, v in _versions(spark, state_path, before).items() if buckets is None or b in buckets]
+    return spark.read.parquet(*paths) if paths else None
+
+
+def run_stream(spark: SparkSession, source: DataFrame, state_path: str, checkpoint: str, complete: bool = False) -> None:
+    """Drain a streaming source into versioned state, a bucket of resources at a time.
+
+    A micro-batch writes a new version of the buckets that it touches and leaves the others; versions go on from
+    the last one, also under a new checkpoint, and a batch that runs again writes the same versions again.
+    ``complete``: each batch is a complete scan, so every bucket is merged and absence is inferred.
+    """
+    fs, mark = _fs(spark, f"{checkpoint}/first-version")
+    if not fs.exists(mark):
+        first = 1 + max(_versions(spark, state_path).values(), default=-1)
+        spark.createDataFrame([(first,)], "v int").coalesce(1).write.parquet(mark.toString())
+    base = spark.read.parquet(mark.toString()).first()[0]
+    bucket = F.pmod(F.xxhash64("resource"), F.lit(BUCKETS)).cast("int")
+
     def apply(batch: DataFrame, number: int) -> None:
-        old = spark.read.parquet(f"{state_path}/v={number - 1}") if number else None
-        observe(old, batch.select("resource", "hash", "observed_at"), complete=False).write.mode("overwrite").parquet(f"{state_path}/v={number}")
+        version = base + number
+        rows = batch.select("resource", "hash", "observed_at").withColumn("bucket", bucket).persist()
+        # at most BUCKETS numbers
+        touched = sorted({r[0] for r in rows.select("bucket").distinct().collect()} | (set(_versions(spark, state_path, version)) if complete else set()))
+        for b in touched:
+            old = read_state(spark, state_path, version, [b])
+            observe(old, rows.where(F.col("bucket") == b), complete).write.mode("overwrite").parquet(f"{state_path}/bucket={b}/v={version}")
+        rows.unpersist()
 
     source.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()

@@ -6,10 +6,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from chronolith.functions import intervals as iv
-from chronolith.operators import checks, graph, hierarchy, resolve
+from chronolith.operators import checks, gate, graph, hierarchy, mentions, resolve
 from chronolith.plans import semantic
 from chronolith.sources import documents
-from chronolith.streaming import state
+from chronolith.streaming import quarantine, state
 
 D = lambda m, d: date(2020, m, d)
 
@@ -88,11 +88,49 @@ def test_two_scans_before_absence_is_confirmed(spark):
 
 
 def test_stream_drains_into_state(spark, tmp_path):
-    src = str(tmp_path / "in")
-    spark.createDataFrame([("a", "1", datetime(2024, 1, 1)), ("a", "2", datetime(2024, 1, 2))], "resource string, hash string, observed_at timestamp").write.parquet(src)
-    stream = spark.readStream.schema("resource string, hash string, observed_at timestamp").parquet(src)
-    state.run_stream(spark, stream, str(tmp_path / "state"), str(tmp_path / "checkpoint"))
-    assert spark.read.parquet(str(tmp_path / "state/v=0")).first()["hash"] == "2"
+    names, src, at = "resource string, hash string, observed_at timestamp", str(tmp_path / "in"), str(tmp_path / "state")
+    run = lambda checkpoint: state.run_stream(spark, spark.readStream.schema(names).parquet(src), at, str(tmp_path / checkpoint))
+    spark.createDataFrame([("a", "1", datetime(2024, 1, 1)), ("a", "2", datetime(2024, 1, 2)), ("b", "1", datetime(2024, 1, 1))], names).write.parquet(src)
+    run("c1")
+    assert {r["resource"]: r["hash"] for r in state.read_state(spark, at).collect()} == {"a": "2", "b": "1"}
+    spark.createDataFrame([("a", "3", datetime(2024, 1, 3))], names).write.mode("append").parquet(src)
+    run("c1")
+    assert {r["resource"]: r["hash"] for r in state.read_state(spark, at).collect()} == {"a": "3", "b": "1"}
+    run("c2")  # another checkpoint reads everything again, and goes on from the versions there are
+    assert {r["resource"]: r["hash"] for r in state.read_state(spark, at).collect()} == {"a": "3", "b": "1"}
+
+
+def test_quarantine_lifecycle(spark):
+    fail = lambda *rows: spark.createDataFrame(list(rows), "resource string, hash string, reason string")
+    none = spark.createDataFrame([], "resource string, hash string")
+    q = quarantine.quarantine(None, fail(("a", "1", "bad"), ("b", "1", "bad")), none, "2024-01-01 00:00:00")
+    q = quarantine.quarantine(q, fail(("a", "1", "bad")), spark.createDataFrame([("b", "1")], "resource string, hash string"), "2024-01-01 01:00:00")
+    assert [(r["resource"], r["tries"], r["status"]) for r in q.collect()] == [("a", 2, "held")]
+    assert quarantine.due(q, "2024-01-01 01:01:00").count() == 0 and quarantine.due(q, "2024-01-01 01:02:00").count() == 1
+    for n in range(3):
+        q = quarantine.quarantine(q, fail(("a", "1", "bad")), none, "2024-01-02 00:00:00")
+    assert q.first()["status"] == "review" and quarantine.due(q, "2025-01-01 00:00:00").count() == 0
+    assert quarantine.quarantine(q, fail(("a", "2", "bad")), none, "2024-01-03 00:00:00").first()["tries"] == 1
+
+
+def test_windows_of_streams(spark, tmp_path):
+    names, src = "ts timestamp, kind string, resource string", str(tmp_path / "in")
+    rows = [(datetime(2024, 1, 1, 0, m), "k", "a") for m in (1, 2, 15, 50)] + [(datetime(2024, 1, 1, 0, 3), "k", "b")]
+    spark.createDataFrame(rows, names).write.parquet(src)
+
+    def drained(f, name):
+        q = f(spark.readStream.schema(names).parquet(src)).writeStream.format("memory").queryName(name).outputMode("complete" if name == "tumbling" else "append").option("checkpointLocation", str(tmp_path / name)).trigger(availableNow=True).start()
+        q.awaitTermination()
+        return spark.table(name).collect()
+
+    assert sorted(r["n"] for r in drained(quarantine.counted, "tumbling")) == [1, 1, 3]
+    assert sorted((r["resource"], r["n"]) for r in quarantine.sessions(spark.createDataFrame(rows, names)).collect()) == [("a", 1), ("a", 3), ("b", 1)]
+    pairs = drained(lambda s: quarantine.matched(s.where("resource = 'a'").withColumnRenamed("ts", "t1"), s.where("resource = 'b'").withColumnRenamed("ts", "t2"), "kind", "t1", "t2", "5 minutes"), "pairs")
+    assert sorted(r["t1"].minute for r in pairs) == [1, 2]
+    assert len(drained(lambda s: quarantine.newest_in_stream(s, ["resource"]), "once")) == 2
+    scans = spark.createDataFrame([(1, 10), (1, 10), (2, 10), (2, 11)], "scan int, advertised int")
+    assert [tuple(r) for r in quarantine.drift(scans).collect()] == [(2, 10, 11)]
+    assert [r["scan"] for r in quarantine.append_only(scans, scans.where("scan = 1"), "scan").collect()] == [2]
 
 
 def test_json_pages_and_members(spark, tmp_path):
@@ -101,3 +139,76 @@ def test_json_pages_and_members(spark, tmp_path):
     rows = documents.json_records(spark, str(tmp_path / "p.json"), schema)
     assert rows.first()["pointer"] == "/results/0"
     assert [tuple(r) for r in documents.members(rows).collect()] == [("m1", "u1", "3", D(1, 1), None)]
+
+
+def test_mentions_longest_first(spark):
+    owners = spark.createDataFrame([(1, "Cork"), (2, "Cork City"), (3, "City Hall"), (4, "cork"), (5, None)], "o int, l string")
+    texts = spark.createDataFrame([(1, "In Cork City Hall"), (2, "Corkscrew, CORK!"), (3, None), (4, "")], "k int, t string")
+    got = sorted((r["k"], r["owner"], r["at"]) for r in mentions.detect(texts, owners, "k", "t", "o", "l").collect())
+    # an earlier match that ends within "City Hall" stays, as it isn't inside it
+    assert got == [(1, 2, 2), (1, 3, 3), (2, 1, 2), (2, 4, 2)]
+    assert mentions.detect(texts, owners.limit(0), "k", "t", "o", "l").count() == 0
+
+
+def test_names_sets_and_context(spark):
+    people = spark.createDataFrame([(1, "Mary Ann Roe", True), (2, "John Roe", False), (3, "Ann Poe", True)], "o int, n string, ok boolean")
+    said = spark.createDataFrame([(1, "mary ann roe"), (2, "Deputy Roe"), (3, "Roe"), (4, "Ann Mary Roe"), (5, "Deputy Ann"), (6, None)], "k int, s string")
+    got = {r["k"]: (r["status"], r["o"]) for r in mentions.by_name(said, people, "k", "s", "o", "n", F.col("ok")).collect()}
+    assert got == {1: ("resolved", 1), 2: ("resolved", 1), 3: ("refused", None), 4: ("unresolved", None), 5: ("ambiguous", None), 6: ("refused", None)}
+    candidates = spark.createDataFrame([(1, 1, "x"), (1, 2, "x"), (2, 1, None), (2, 2, None), (3, 3, "z")], "k int, o int, clue string")
+    context = spark.createDataFrame([(1, "x"), (2, "y")], "o int, clue string")
+    assert {r["k"]: (r["status"], r["o"]) for r in mentions.narrow(candidates, context, "k", "o", "clue").collect()} == {1: ("resolved by context", 1), 2: ("ambiguous", None), 3: ("resolved", 3)}
+
+
+def test_text_columns(spark):
+    def one(f, value):
+        return spark.createDataFrame([(value,)], "x string").select(f(F.col("x"))).first()[0]
+
+    assert one(mentions.strip_preposition, "representing Cork") == "Cork"
+    assert one(mentions.committee_core, "Joint Committee on the Environment") == "environment"
+    assert one(mentions.names_a_set, "Members named Roe") is True and one(mentions.names_a_set, None) is False
+    assert one(mentions.days_said, "on 4 March 1999.") == date(1999, 3, 4) and one(mentions.days_said, "on 31 June 1999") is None
+    assert one(mentions.strict_day, "2020-01-01T00:00:00Z") == D(1, 1) and one(mentions.strict_day, "2020-01-01x") is None and one(mentions.strict_day, "2020-02-30") is None
+    assert one(mentions.redact, "http://u:p@h/x Bearer abc password=1 q=2") == "http://***@h/x Bearer *** password=*** q=2"
+    assert one(mentions.percent_encoded, "a b/ü~") == "a%20b%2F%C3%BC~"
+    assert one(mentions.is_ncname, "a-b.1") is True and one(mentions.is_ncname, "1a") is False
+
+
+def test_gate(spark):
+    frame = spark.createDataFrame([(i, "x") for i in range(150)], "a int, b string")
+    tables, frames = {"things": {"a"}}, {"things": frame}
+    assert gate.run(spark, "SELECT count(*) AS n FROM things WHERE a > 3", tables, frames) == [(146,)]
+    for bad in ("DROP TABLE things", "SELECT * FROM other", "SELECT a FROM things; SELECT 1", "SELECT a FROM things WHERE a IN (SELECT a FROM things)", "SELECT a FROM things LIMIT 500", "SELECT a FROM things", "WITH t AS (SELECT 1) SELECT * FROM t", "SELECT explode(array(1))", "INSERT INTO things SELECT 1", "x" * 40_000):
+        with pytest.raises(gate.Refused):
+            gate.run(spark, bad, tables, frames)
+    with pytest.raises(Exception, match="b"):
+        gate.run(spark, "SELECT b FROM things", tables, frames)
+
+
+def test_reconciliation_round(spark):
+    names = "resource string, hash string, identity string, status string, dirty boolean, next_check timestamp"
+    old = spark.createDataFrame([(r, "h", None, "pending", d, datetime(2030, 1, 1)) for r, d in (("none", True), ("one", True), ("many", True), ("clean", False), ("stale", False), ("kept", False))], names)
+    candidates = spark.createDataFrame([("one", "x"), ("many", "x"), ("many", "y"), ("clean", "x")], "resource string, identity string")
+    reviews = spark.createDataFrame([("stale", "g", "accepted", "z"), ("kept", "h", "accepted", "z")], "resource string, hash string, decision string, identity string")
+    out = resolve.reconcile(old, candidates, reviews, "2024-01-01")
+    assert {r["resource"]: (r["status"], r["identity"], r["was_due"]) for r in out.collect()} == {
+        "none": ("pending", None, True), "one": ("accepted", "x", True), "many": ("ambiguous", None, True), "clean": ("pending", None, False), "stale": ("stale review", None, True), "kept": ("accepted", "z", True)}
+    again = resolve.reconcile(out.drop("was_due"), candidates, reviews.where("resource = 'kept'"), "2024-01-02")
+    assert not again.where("resource = 'kept'").first()["was_due"]
+
+
+def test_names_by_language(spark):
+    rows = [(1, "en", "Old", D(1, 1), D(2, 1)), (1, "en", "New", D(2, 2), None), (1, "en", "new ", D(2, 2), None), (1, "ga", "A", D(1, 1), D(2, 1)), (1, "ga", "B", D(1, 1), D(2, 1))]
+    got = resolve.name_by_language(spark.createDataFrame(rows, "o int, lang string, l string, s date, e date"), "o", "lang", "l").collect()
+    assert {r["lang"]: (r["label"], r["status"]) for r in got} == {"en": ("New", "chosen"), "ga": (None, "ambiguous")}
+
+
+def test_deep_closure(spark):
+    e = spark.createDataFrame([(i, i + 1) for i in range(12)], "child int, parent int")
+    out = hierarchy.closure(e, e.select("child"))
+    assert out.count() == sum(range(2, 14)) and out.agg(F.max("depth")).first()[0] == 12
+    with pytest.raises(ValueError, match="deeper"):
+        hierarchy.closure(e, e.select("child"), max_depth=5)
+    links = spark.createDataFrame([(10, 3), (11, 9)], "item int, concept int")
+    assert sorted(r["item"] for r in hierarchy.subject_search(links, e, "item", "concept", [5]).collect()) == [10]
+    assert hierarchy.subject_search(links, e, "item", "concept", [5], narrower=False).count() == 0
