@@ -324,6 +324,31 @@ def test_licence_rules(spark):
     assert got[1] == "mit" and got[2] == "" and got[3] == "" and got[4] == ""
 
 
+def test_wrapped_licences(spark):
+    """Texts as they are published: wrapped, numbered, in comments; and the same sentences too far apart or out of order."""
+    import textwrap
+
+    wrap = lambda *names, start="": "\n\n".join(textwrap.fill(licences.SENTENCES[n][-1], 72, initial_indent=start, subsequent_indent=start) for n in names)
+    texts = {
+        "mit": "MIT License\n\nCopyright (c) 2020 Somebody\n\n" + wrap("mit.grant", "mit.include"),
+        "apache-2.0": '/*\n' + wrap("apache.notice", start=" * ") + "\n *\n * You may obtain a copy of the License at\n *\n *     http://www.apache.org/licenses/LICENSE-2.0\n */",
+        "bsd-2-clause bsd-3-clause": wrap("bsd.grant") + "\n\n1. " + wrap("bsd.source") + "\n2. " + wrap("bsd.binary") + "\n3. " + wrap("bsd.endorse"),
+        "gpl-2.0": wrap("gpl2.notice", "gpl.warranty", start="# "),
+        "lgpl-3.0": wrap("lgpl3.notice", "lgpl.warranty", start="// "),
+        "zlib": wrap("zlib.as_is", "zlib.grant"),
+        "": wrap("mit.include") + "\n\nOne.\n\nTwo.\n\nThree.\n\nFour.\n\n" + wrap("mit.grant"),
+    }
+    rows = [(i, t, "en", "s") for i, t in enumerate(texts.values())]
+    got = {r["doc_id"]: r["licences"] for r in licences.recognise(table(spark, rows)).collect()}
+    assert [got[i] for i in range(len(texts))] == list(texts)
+    import duckdb
+
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", [r[:2] for r in rows])
+    assert {r[0]: r[4] for r in con.execute(licences.oracle()).fetchall()} == got
+
+
 def test_rules_base_counts(spark, rows):
     extra = rows + [(500, "a b\na b\n\na b $$\nc " * 30, "en", "s")]
     got = {r["doc_id"]: r for r in quality_rules.assess(table(spark, extra)).collect() if r["doc_id"] is not None}
