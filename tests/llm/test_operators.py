@@ -170,6 +170,57 @@ def test_near_duplicates_found(spark, rows):
     assert got[200]["kept"] and got[300]["kept"]
 
 
+def test_sampled_segmentations_follow_the_lattice(spark):
+    """Many draws of one short text against all of its segmentations: samples, their probabilities, and inclusion."""
+    text, n = "dogs", 6000
+    v = pieces.load()["pieces"]
+    whole = " " + text
+
+    def ways(at):
+        if at == len(whole):
+            yield (), 0.0
+        for z in range(at + 1, len(whole) + 1):
+            if whole[at:z] in v:
+                i, rank = v[whole[at:z]]
+                for ids, w in ways(z):
+                    yield (i, *ids), w - math.log(rank + 2.0)
+
+    weight = dict(ways(0))
+    total = math.log(sum(math.exp(w) for w in weight.values()))
+    p = {ids: math.exp(w - total) for ids, w in weight.items()}
+    assert len(p) > 5
+    rows = pieces.encode(spark.range(n).select(F.col("id").alias("doc_id"), F.lit(text).alias("text"))).collect()
+    first, second = Counter(tuple(r["ids_1"]) for r in rows), Counter(tuple(r["ids_2"]) for r in rows)
+    assert all(tuple(r["ids_1"]) != tuple(r["ids_2"]) for r in rows)
+    for r in rows[:50]:
+        assert abs(r["log_prob_1"] - math.log(p[tuple(r["ids_1"])])) < 1e-9 and abs(r["log_prob_2"] - math.log(p[tuple(r["ids_2"])])) < 1e-9
+    for ids, q in p.items():
+        then = sum(q * p[other] / (1 - p[other]) for other in p if other != ids)
+        for count, want in ((first[ids], q), (second[ids], then)):
+            assert abs(count - n * want) < 5 * math.sqrt(n * want * (1 - want)) + 1
+        # what a sample weighs by its inclusion adds up to the text's whole mass of that segmentation
+        if q > 0.02:
+            hits = [math.exp(r[f"log_prob_{i}"] - r[f"log_inclusion_{i}"]) for r in rows for i in (1, 2) if tuple(r[f"ids_{i}"]) == ids]
+            assert abs(sum(hits) / n - q) < 0.1 * q + 0.01
+
+
+def test_lattice_room_is_dropped_and_filled_again():
+    """Units kept from slice to slice give the samples that a lattice of their own gives."""
+    v = pieces.Vocabulary(pieces.load(), 1.0)
+    r = np.random.Generator(np.random.PCG64(12))
+    texts = [" ".join("".join(r.choice(list("abcdefgh"), 5)) for _ in range(40)) for _ in range(30)]
+    kept = pieces.Lattice(v, room=3000)
+    for text in texts:
+        out = []
+        for lat in (kept, pieces.Lattice(v)):
+            raw = np.frombuffer(text.encode(), np.uint8)
+            data, starts, ends, row = pieces.units_of(raw, np.array([0, len(raw)]))
+            units = lat.units(automata.bt.hashes(data, starts, ends), data, starts, ends)
+            *samples, _ = pieces.sample(lat, units, row, np.array([7], np.uint64), 2)
+            out.append([(lat.id[s["edges"]].tolist(), s["log_prob"].tolist()) for s in samples])
+        assert out[0] == out[1] and kept.edges <= 3000
+
+
 def jaccard(a, b):
     x, y = (Counter(tuple(w[i : i + 5]) for i in range(len(w) - 4)) for w in (a.split(), b.split()))
     return sum((x & y).values()) / sum((x | y).values())
@@ -309,6 +360,26 @@ def test_lm_learns_from_every_document(spark):
     assert score[ordered] > score[mixed] + 1
 
 
+def test_importance_on_held_out_labels(spark):
+    """The quality classifier learns from a third of the labels and is judged on the others."""
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    learned = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    kept = {r["doc_id"]: r["kept"] for r in importance.classify(docs, labels.where(learned)).collect()}
+    held = labels.where(~learned).where("quality IS NOT NULL").collect()
+    good = [kept[r["doc_id"]] for r in held if r["quality"] == 1]
+    bad = [kept[r["doc_id"]] for r in held if r["quality"] == 0]
+    assert sum(good) >= 0.9 * len(good) and sum(bad) <= 0.5 * len(bad), (sum(good), len(good), sum(bad), len(bad))
+
+
+@pytest.mark.parametrize("quality", [None, 0, 1])
+def test_one_sided_labels_keep_everything(spark, rows, quality):
+    labels = spark.createDataFrame([] if quality is None else [(i, quality, quality) for i in range(20)], "doc_id bigint, quality int, toxic int")
+    got = importance.classify(table(spark, rows), labels).collect()
+    assert len(got) == len(rows) and all(r["kept"] for r in got)
+    scored = toxicity.score(table(spark, rows), toxicity.train(table(spark, rows), labels, epochs=1)).collect()
+    assert len(scored) == len(rows) and all(0 <= r["score"] <= 1 for r in scored)
+
+
 def test_importance_rejects_bad(spark):
     r = np.random.Generator(np.random.PCG64(4))
     good, bad = ([x + "".join(r.choice(list("abcdef"), 4)) for _ in range(200)] for x in "gz")
