@@ -11,6 +11,8 @@ import zipfile
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from chronolith.operators.lineage import folder
+
 #: Words of a text: runs of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -35,23 +37,16 @@ def ship(spark: SparkSession) -> None:
     _shipped[sc.applicationId] = True
 
 
-def _folder(spark: SparkSession) -> str:
-    sc = spark.sparkContext
-    if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="checkpoints-"))
-    return sc._jsc.sc().getCheckpointDir().get()
-
-
 def cut(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and go on from there: lost executors lose nothing."""
-    _folder(df.sparkSession)
+    folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
 def cut_packed(df: DataFrame) -> tuple[DataFrame, str]:
     """As ``cut``, but as a compressed table, for rows of long strings; the caller drops its folder when done."""
     spark = df.sparkSession
-    path = f"{_folder(spark)}/table-{uuid.uuid4().hex}"
+    path = f"{folder(spark)}/table-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path), path
 
@@ -79,9 +74,10 @@ def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
     """Connected components of undirected links (columns a, b): rows (node, component), component the
     smallest node reached. Nodes without a link to another node are absent.
 
-    Alternating large-star and small-star rounds; each is two aggregations with map-side combine and an
-    equi-join, so a node with very many links is never gathered in one task. Self-links and repeated
-    links change nothing.
+    Alternating large-star and small-star rounds; each is two aggregations with map-side combine and two
+    equi-joins with their minima. No list of a node's links is ever built, but the rows of a hub meet its
+    minimum in one task of the join, two numbers a row, unless adaptive execution splits it. Self-links and
+    repeated links change nothing; no links give no rows.
     """
     e = cut(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     before = None

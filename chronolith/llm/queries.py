@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import automata, dart, descent, importance, licences, mixing, pieces, quality_rules, recurrent, toxicity
+from . import automata, dart, descent, importance, licences, mixing, oracles, pieces, quality_rules, recurrent, toxicity
 from .common import remainder
 
 
@@ -79,5 +79,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_divergence": op10_divergence,
 }
 
-#: DuckDB statements for the queries that SQL can express.
-ORACLE: dict[str, str] = {"op9_licences": licences.oracle()}
+ORACLE = oracles.ORACLE
