@@ -362,7 +362,7 @@ _same("q16_sponsored", "SELECT p.sponsor, count(DISTINCT p.bill) AS n FROM parti
 _same("q19_parties_in_term", "SELECT DISTINCT party FROM memberships WHERE term_no = 4")
 _same("q22_party_history", "SELECT member, party, min(ps) AS first_start, count(*) AS episodes FROM memberships GROUP BY member, party")
 _same("q31_government_party", f"SELECT DISTINCT h.member, h.office, m.party FROM office_holdings h JOIN memberships m ON m.member = h.member JOIN house_terms t ON t.term_no = m.term_no WHERE h.cabinet AND h.s <= {AS_OF} AND (h.e IS NULL OR {AS_OF} <= h.e) AND m.s <= {AS_OF} AND (m.e IS NULL OR {AS_OF} <= m.e) AND m.ps <= {AS_OF} AND (m.pe IS NULL OR {AS_OF} <= m.pe)")
-_same("q32_current_roster", f"SELECT committee, member, s FROM committee_memberships WHERE committee <= 20 AND s <= {AS_OF} AND (e IS NULL OR {AS_OF} <= e)")
+_same("q32_current_roster", f"SELECT committee, member, s FROM committee_memberships WHERE s <= {AS_OF} AND (e IS NULL OR {AS_OF} <= e)")
 _same("q33_office_constituency", f"SELECT h.office, h.member, m.constituency FROM office_holdings h JOIN memberships m ON m.member = h.member WHERE h.s <= {AS_OF} AND (h.e IS NULL OR {AS_OF} <= h.e) AND m.s <= {AS_OF} AND (m.e IS NULL OR {AS_OF} <= m.e)")
 
 
@@ -379,7 +379,7 @@ _same("c08_all_of_member", "SELECT id, term_no, s, e FROM memberships WHERE memb
 _same("c15_ordered_stages", "SELECT bill, stage_no, activity_type, activity_date FROM activities")
 _same("c19_children", "SELECT record, container, ordinal, kind FROM components WHERE container = 1")
 _same("c20_speeches_questions", "SELECT record, ordinal, 'question' AS kind FROM components WHERE kind = 'user' UNION ALL SELECT record, ordinal, 'speech' AS kind FROM components WHERE kind = 'assistant'")
-_same("c28_constituency_members", "SELECT DISTINCT constituency, term_no, member FROM memberships WHERE constituency IN (1, 2)")
+_same("c28_constituency_members", "SELECT DISTINCT constituency, term_no, member FROM memberships")
 _frame("c33_page_links", """SELECT page_id, count(*) AS n FROM (SELECT page_id, unnest(regexp_extract_all(html, 'href="([^"]*)"', 1)) AS href FROM pages) t GROUP BY page_id""")(
     lambda spark, sf_dir: sources.links(model.table(spark, sf_dir, "pages")).groupBy("page_id").agg(F.count(F.lit(1)).alias("n"))
 )
@@ -419,7 +419,7 @@ def _(spark, sf_dir):
 )
 def _(spark, sf_dir):
     found = mentions.detect(_v("documents")(spark, sf_dir), _v("concepts")(spark, sf_dir), "doc_id", "text", "concept", "label")
-    return found.select("doc_id", "label", F.col("at").alias("place"), "words").distinct()
+    return found.select("doc_id", "label", F.col("at").cast("bigint").alias("place"), F.col("words").cast("bigint").alias("words")).distinct()
 
 
 @_frame(
@@ -454,7 +454,7 @@ def _(spark, sf_dir):
     # the query set of searches: every id divisible by 20
     asked = vectors.where("vec_id % 20 = 0").select(F.col("vec_id").alias("name"), F.col("label").alias("concept"), "embedding")
     rows = vectors.select(F.floor(F.col("vec_id") / 2).alias("doc"), "embedding")
-    return enrich.nearest(rows, asked, "doc", "embedding", "concept", "name", "embedding")
+    return enrich.nearest(rows, asked, "doc", "embedding", "concept", "name", "embedding").withColumn("rank", F.col("rank").cast("bigint"))
 
 
 @_frame(
@@ -512,6 +512,24 @@ def _(spark, sf_dir):
     return _v("pages")(spark, sf_dir).select("page_id", mentions.redact(line).alias("line"))
 
 
+@_frame(
+    "q04_durations",
+    f"""WITH r AS (SELECT member, s, coalesce(e, {AS_OF}) AS e, id FROM services WHERE house = 'dail' AND s <= {AS_OF} AND (e IS NULL OR s <= e)),
+        m AS (SELECT *, max(e) OVER (PARTITION BY member ORDER BY s, e, id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM r),
+        n AS (SELECT *, sum(CASE WHEN reach IS NULL OR s > reach + 1 THEN 1 ELSE 0 END) OVER (PARTITION BY member ORDER BY s, e, id ROWS UNBOUNDED PRECEDING) AS k,
+                     CASE WHEN s > reach + 1 THEN s - reach - 1 ELSE 0 END AS gap FROM m),
+        i AS (SELECT member, k, min(s) AS s, max(e) AS e, sum(gap) AS gap FROM n GROUP BY member, k)
+        SELECT member, count(*) AS intervals, sum(e - s + 1)::BIGINT AS served_days, sum(gap)::BIGINT AS gap_days FROM i GROUP BY member""",
+)
+def _(spark, sf_dir):
+    served = _v("services")(spark, sf_dir).where((F.col("house") == "dail") & (F.col("s") <= _as_of()) & iv.certain(F.col("s"), F.col("e")))
+    spans = iv.islands(served.withColumn("e", F.coalesce("e", _as_of())), ["member"])
+    before = F.lag("e").over(Window.partitionBy("member").orderBy("s"))
+    spans = spans.withColumn("gap", F.coalesce(F.datediff("s", before) - 1, F.lit(0)))
+    days = F.datediff("e", "s") + 1
+    return spans.groupBy("member").agg(F.count(F.lit(1)).alias("intervals"), F.sum(days).alias("served_days"), F.sum("gap").alias("gap_days"))
+
+
 # --- named views and question families ---------------------------------------------------------------------------
 
 for _name, _text in competency.STATEMENTS.items():

@@ -17,8 +17,7 @@ STATEMENTS: dict[str, str] = {
         SELECT DISTINCT concat('urn:x:member/', CAST(member AS STRING)) AS s, p, o
         FROM (SELECT member, 'name' AS p, name AS o FROM members
               UNION ALL SELECT member, 'home', CAST(home AS STRING) FROM members
-              UNION ALL SELECT member, 'code', code FROM members) t
-        WHERE member IN (1, 2, 3)""",
+              UNION ALL SELECT member, 'code', code FROM members) t""",
     "s15_month_windows": """
         SELECT CAST(date_trunc('month', day) AS DATE) AS first_day, last_day(day) AS last_day,
                count(*) AS n, count(DISTINCT record) AS records
@@ -139,7 +138,7 @@ STATEMENTS: dict[str, str] = {
                concat('/', split_part(split_part(url, '://', 2), '/', 2)) AS head, split_part(url, '?', 1) AS bare
         FROM pages""",
     "f10_string_tests": """
-        SELECT page_id, length(url) AS n, url LIKE '%feed' AS ends, replace(url, 'http://', 'https://') AS safe,
+        SELECT page_id, CAST(length(url) AS BIGINT) AS n, url LIKE '%feed' AS ends, replace(url, 'http://', 'https://') AS safe,
                regexp_replace(url, '[?].*$', '') AS bare FROM pages""",
     "f16_month_window": """
         SELECT DISTINCT CAST(date_trunc('month', day) AS DATE) AS first_day, last_day(day) AS last_day,
@@ -158,7 +157,7 @@ STATEMENTS: dict[str, str] = {
     "e06_member_clues": """
         SELECT n.member, n.name, m.party, m.constituency, k.name AS constituency_name, m.term_no
         FROM members n JOIN memberships m ON m.member = n.member
-        JOIN constituencies k ON k.constituency = m.constituency WHERE n.member < 20 OR n.name LIKE '%7'""",
+        JOIN constituencies k ON k.constituency = m.constituency""",
     "e08_term_affiliations": """
         SELECT term_no, label, count(DISTINCT party) AS candidates, min(party) AS party,
                CASE WHEN count(DISTINCT party) = 1 THEN 'resolved' ELSE 'ambiguous' END AS status
@@ -291,7 +290,7 @@ STATEMENTS: dict[str, str] = {
     "c07_members_of_term": "SELECT DISTINCT m.member, n.name FROM memberships m JOIN members n ON n.member = m.member WHERE m.term_no = 4",
     "c09_representation": """
         SELECT m.member, m.id, k.constituency, k.name, m.s, m.e FROM memberships m
-        JOIN constituencies k ON k.constituency = m.constituency WHERE m.member IN (1, 2, 3)""",
+        JOIN constituencies k ON k.constituency = m.constituency""",
     "c10_party_at": """
         SELECT id, member, party, ps, pe FROM memberships
         WHERE ps <= DATE '1998-04-01' AND (pe IS NULL OR DATE '1998-04-01' <= pe)""",
@@ -361,7 +360,7 @@ STATEMENTS: dict[str, str] = {
         FROM services WHERE house = 'seanad' GROUP BY member""",
     "q10_bill_lookup": """
         SELECT b.bill, b.status, b.kind, a.stage_no, a.activity_type, a.activity_date
-        FROM bills b LEFT JOIN activities a ON a.bill = b.bill WHERE b.bill IN (1, 2, 3, 5, 8, 13)""",
+        FROM bills b LEFT JOIN activities a ON a.bill = b.bill""",
     "q13_title_search": """
         SELECT concept, label FROM concepts WHERE label LIKE '%that%' AND label LIKE '%and%'""",
     "q15_bill_sponsors": """
@@ -402,4 +401,28 @@ STATEMENTS: dict[str, str] = {
         FROM (SELECT * FROM memberships WHERE {IN_FORCE}) r
         JOIN (SELECT id, member, party FROM memberships WHERE ps <= {AS_OF} AND (pe IS NULL OR {AS_OF} <= pe)) p
           ON p.member = r.member AND p.id = r.id GROUP BY r.constituency, p.party""",
+    "q16_sponsor_rollup": """
+        SELECT sponsor, count(DISTINCT bill) AS bills, count(DISTINCT CASE WHEN is_primary THEN bill END) AS primary_bills,
+               count(DISTINCT bill_flags) AS flag_kinds, CASE WHEN min(bill_flags) = 2 THEN 'conflicting' WHEN max(bill_flags) = 2 THEN 'partly conflicting' ELSE 'consistent' END AS flags,
+               CASE WHEN max(CASE WHEN is_primary THEN 1 ELSE 0 END) = 1 AND min(CASE WHEN is_primary THEN 1 ELSE 0 END) = 0 THEN 'primary, secondary'
+                    WHEN max(CASE WHEN is_primary THEN 1 ELSE 0 END) = 1 THEN 'primary' ELSE 'secondary' END AS roles
+        FROM (SELECT p.bill, p.sponsor, p.is_primary, f.n AS bill_flags FROM participations p
+              JOIN (SELECT bill, sponsor, count(DISTINCT is_primary) AS n FROM participations GROUP BY bill, sponsor) f ON f.bill = p.bill AND f.sponsor = p.sponsor) t
+        GROUP BY sponsor""",
+    "q26_anchored_office": """
+        SELECT a.member AS anchor, o.member, h.office, greatest(a.s, o.s, h.s) AS overlap_start,
+               nullif(least(coalesce(a.e, DATE '9999-12-31'), coalesce(o.e, DATE '9999-12-31'), coalesce(h.e, DATE '9999-12-31')), DATE '9999-12-31') AS overlap_end,
+               count(*) AS evidence
+        FROM (SELECT DISTINCT member, id, term_no, constituency, party, s, e FROM memberships WHERE member IN (1, 2, 3, 4, 5) AND (e IS NULL OR s <= e)) a
+        JOIN (SELECT * FROM memberships WHERE e IS NULL OR s <= e) o
+          ON o.term_no = a.term_no AND o.constituency = a.constituency AND o.member <> a.member
+        JOIN (SELECT * FROM office_holdings WHERE e IS NULL OR s <= e) h ON h.member = o.member
+        WHERE greatest(a.s, o.s, h.s) <= least(coalesce(a.e, DATE '9999-12-31'), coalesce(o.e, DATE '9999-12-31'), coalesce(h.e, DATE '9999-12-31'))
+        GROUP BY a.member, o.member, h.office, greatest(a.s, o.s, h.s),
+                 nullif(least(coalesce(a.e, DATE '9999-12-31'), coalesce(o.e, DATE '9999-12-31'), coalesce(h.e, DATE '9999-12-31')), DATE '9999-12-31')""",
+    "a23_coverage": """
+        SELECT d.source, d.lang, count(*) AS documents, count(l.doc_id) AS labelled, sum(coalesce(l.quality, 0)) AS accepted,
+               round(CAST(100 AS DOUBLE) * count(l.doc_id) / count(*), 6) AS coverage, round(CAST(sum(coalesce(l.quality, 0)) AS DOUBLE) / count(*), 6) AS density,
+               sum(CASE WHEN l.doc_id IS NULL THEN 1 ELSE 0 END) AS abstained
+        FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id GROUP BY d.source, d.lang""",
 }

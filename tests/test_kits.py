@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from chronolith.functions import intervals as iv
 from chronolith.operators import checks, gate, graph, hierarchy, mentions, resolve
-from chronolith.plans import semantic
+from chronolith.plans import search, semantic
 from chronolith.sources import documents
 from chronolith.streaming import quarantine, state
 
@@ -212,3 +212,39 @@ def test_deep_closure(spark):
     links = spark.createDataFrame([(10, 3), (11, 9)], "item int, concept int")
     assert sorted(r["item"] for r in hierarchy.subject_search(links, e, "item", "concept", [5]).collect()) == [10]
     assert hierarchy.subject_search(links, e, "item", "concept", [5], narrower=False).count() == 0
+
+
+def test_search_is_built_from_the_question(spark):
+    parts = spark.createDataFrame([(1, 1, "speech"), (1, 2, "question"), (2, 1, "speech"), (3, 1, "speech")], "record int, ordinal int, kind string")
+    sittings = spark.createDataFrame([(1, "dail", D(1, 1)), (2, "seanad", D(2, 1))], "record int, body string, day date")
+    links = spark.createDataFrame([(1, 10), (2, 11), (3, 12)], "record int, concept int")
+    tree = spark.createDataFrame([(11, 10), (12, 99)], "child int, parent int")
+    ask = lambda **q: sorted({r["record"] for r in search.contributions(parts, sittings, links, tree, **q).collect()})
+    assert ask() == [1, 2, 3] and ask(bodies=["dail"]) == [1] and ask(first="2020-01-15") == [2] and ask(works=[3]) == [3]
+    assert ask(subjects=[10]) == [1, 2] and ask(subjects=[10], narrower=False) == [1] and ask(subjects=[10], last="2020-01-15") == [1]
+
+
+def test_plan_answers(spark):
+    r, sf = semantic.Requirement, "/root/testdata/sf0.001"
+    label = semantic.Plan((r("member_name", "m", "name"), r("member_membership", "m", "t")), "label", "m", (semantic.Filter("t", "eq", 3),))
+    assert semantic.answer_role(label) == "name" and semantic.compile_plan(spark, sf, label).columns == ["name"]
+    with pytest.raises(ValueError, match="label"):
+        semantic.answer_role(semantic.Plan((r("member_party", "m", "p"),), "label", "m"))
+    one = semantic.Plan((r("member_name", "m", "name"),), "entity", "m", (semantic.Filter("name", "eq", "Customer#000000007"),))
+    assert tuple(semantic.compile_plan(spark, sf, one).first()) == (7, "resolved")
+    many = semantic.Plan((r("committee_kind", "c", "k"),), "entity", "c", (semantic.Filter("k", "exists"),))
+    assert semantic.compile_plan(spark, sf, many).first()["status"] == "ambiguous"
+    for fact in semantic.FACTS:
+        assert semantic.compile_plan(spark, sf, semantic.Plan((r(fact, "x", "y"),), "count", "x")).first()["n"] >= 0
+
+
+def test_contract_types_items_and_unknown(spark):
+    df = spark.createDataFrame([(1, ["a"], "q")], "a int, b array<string>, c string")
+    got = checks.contract(df, ["a"], {}, {"a": "bigint"}, {"b": 2}, ["a", "b"])
+    assert sorted(map(tuple, got.collect())) == [("a", "type", 1), ("b", "items", 1), ("c", "unknown", 1)]
+    q = spark.createDataFrame([("g", "member", "s", "name", "o"), ("g", "member", "s", "title", "o")], "g string, family string, s string, p string, o string")
+    assert [r["p"] for r in checks.owned(q, {"member": ["name"], "bill": ["title"]}).collect()] == ["title"]
+    assert [tuple(r) for r in checks.terms_outside(q, ["name"]).collect()] == [("title", 1)]
+    assert checks.within_budget({"mb": 9}, {"mb": 10}) == ["mb"]
+    with pytest.raises(RuntimeError):
+        checks.within_budget({"mb": 11}, {"mb": 10})
