@@ -20,7 +20,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from .common import components, cut, release, ship
 
@@ -107,9 +107,14 @@ def _pairs_of_groups(rows: DataFrame, key: list[str], best: int, chunk: int, flo
 
 
 def _top(edges: DataFrame, k: int) -> DataFrame:
-    """Each vector's k best neighbours: rows (u, nb), nb an array of (sim, v), best first."""
-    x = edges.groupBy("u").agg(F.collect_set(F.struct((-F.col("sim")).alias("d"), "v")).alias("s"))
-    return x.select("u", F.slice(F.array_sort("s"), 1, k).alias("nb"))
+    """Each vector's k best neighbours: rows (u, nb), nb an array of (d = -sim, v), best first.
+
+    One shuffle by u; a hub's candidates are sorted, which can spill, and only its k best ever stand in one row.
+    """
+    one = edges.repartition("u").groupBy("u", "v").agg(F.max("sim").alias("sim"))
+    place = F.row_number().over(Window.partitionBy("u").orderBy(F.desc("sim"), "v"))
+    best = one.withColumn("place", place).where(F.col("place") <= k)
+    return best.groupBy("u").agg(F.array_sort(F.collect_list(F.struct((-F.col("sim")).alias("d"), "v"))).alias("nb"))
 
 
 def start_graph(reps: DataFrame, size: int, tables: int, k: int, seed: int) -> DataFrame:
@@ -164,6 +169,16 @@ def exact(pairs: DataFrame, reps: DataFrame, threshold: float) -> DataFrame:
     return full.select("a", "b", "va", "vb").mapInArrow(work, f"a {kind}, b {kind}")
 
 
+def _reaches(x: np.ndarray, y: np.ndarray, threshold: float) -> np.ndarray:
+    """Which rows of x and of y have a cosine at or above the threshold; at the threshold as ``exact`` sees it."""
+    c = x @ y.T
+    hit = c >= threshold
+    i, j = np.nonzero(np.abs(c - threshold) < 1e-12)
+    if len(i):
+        hit[i, j] = np.einsum("ij,ij->i", x[i], y[j]) >= threshold
+    return hit
+
+
 def _blocks(members: DataFrame, key: list[str], cols: list[str]) -> DataFrame:
     """Rows (g, left, own, cols) from rows with columns key, id, cols: all rows of a key in blocks of BLOCK, g a meeting of two blocks."""
     sizes = members.groupBy(*key).agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
@@ -205,13 +220,13 @@ def group_links(members: DataFrame, threshold: float) -> DataFrame:
         ids, left = b.column("id").combine_chunks(), np.asarray(b.column("left"))
         a, z = np.flatnonzero(left), np.flatnonzero(~left)
         if b.column("own")[0].as_py():
-            c = x @ x.T >= threshold
+            c = _reaches(x, x, threshold)
             np.fill_diagonal(c, False)
             found = [(ids, c @ n)]
         elif not len(a) or not len(z):
             found = [(ids, np.zeros(len(n)))]
         else:
-            c = x[a] @ x[z].T >= threshold
+            c = _reaches(x[a], x[z], threshold)
             found = [(ids.take(pa.array(a)), c @ n[z]), (ids.take(pa.array(z)), n[a] @ c)]
         for i, c in found:
             yield pa.RecordBatch.from_arrays([i, pa.array(np.rint(c).astype(np.int64))], names=["id", "n_links"])
@@ -300,7 +315,7 @@ def audit(reps: DataFrame, linked: DataFrame, threshold: float, seed: int) -> tu
         total = np.zeros(len(q))
         for b in batches:
             if len(b):
-                total += (_matrix(b.column(0)) @ q.T >= threshold).T @ np.asarray(b.column(1)).astype(float)
+                total += _reaches(_matrix(b.column(0)), q, threshold).T @ np.asarray(b.column(1)).astype(float)
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(q))), pa.array(total)], names=["i", "n"])
 
     true = np.zeros(got.num_rows)
