@@ -12,8 +12,10 @@ gram of ``GRAM`` words in it; equal windows pick equal anchors, and anchors are
    streams its segments through: each occurrence comes out with the first document that has it.
 4. Occurrences later than their first document mark the words of their document.
 
-Words are compared whole in the automata, and hashes only route. Null, empty and short texts have no
+Words are compared whole in the automata. A hash of an anchor only routes; what is found for a segment goes back
+to its copies under two 64-bit hashes of its bytes. Null, empty and short texts have no
 window and lose nothing. Rows of one id count as one document, and rows with a null id are left as they are.
+An empty table gives no rows; other columns are carried along if asked for (``keep``), whatever their names.
 """
 
 from __future__ import annotations

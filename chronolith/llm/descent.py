@@ -14,6 +14,7 @@ with new hyperplanes, its links added to those found, and fails when ``max_round
 
 Null and zero vectors and those with null or non-finite components, or of another length than most, link with
 nothing. Rows of one id are one vertex; its smallest distinct vector counts. Rows with a null id come back unlinked.
+An empty table gives no rows; of equal similarities the smaller id comes first in a list; other columns are not read.
 """
 
 from __future__ import annotations

@@ -12,7 +12,9 @@ and last bytes, the case and whether the word or its 4-gram was there before. Th
 shrunk towards the raw distribution so that small samples don't overfit.
 
 Null and empty texts have no n-grams: log weight 0. Repeated rows share their fate. Ties at the k-th key
-are all kept. With no labelled good or no labelled bad row, nothing tells documents apart: all are kept.
+are all kept. With no labelled good or no labelled bad row, nothing tells documents apart: all are kept. An id
+that is labelled twice counts as good if it ever is. An empty table gives no rows; other columns are carried
+along if asked for (``keep``), whatever their names. Very long texts count whole.
 """
 
 from __future__ import annotations

@@ -9,7 +9,8 @@ language, so it follows how far good texts of the language lie from their mean.
 
 Null and empty texts have no words: all counts are 0 and the base rule fails them. A null or unlisted
 language is judged by the reference of all documents together and only by character classes.
-Repeated rows are judged each by itself. Other columns of the input are neither read nor returned.
+Repeated rows are judged each by itself. Other columns of the input are neither read nor returned. An empty
+table gives no rows; very long texts count whole.
 """
 
 from __future__ import annotations

@@ -18,7 +18,8 @@ Scoring runs whole documents side by side, longest first, in windows that carry
 from a broadcast table of fixed size for the most frequent ones and from a join on hashes for all others.
 
 Null and empty texts are one end. Repeated rows are scored each by itself, and counted each. Rows with a null id
-are scored. With nothing to learn from, every count is 0 and every score 0 (one unknown word is sure).
+are scored. With nothing to learn from, every count is 0 and every score 0 (one unknown word is sure). An empty
+table gives no rows; words of equal counts are ranked by hash; other columns are not read.
 """
 
 from __future__ import annotations

@@ -12,7 +12,8 @@ costs six table rows.
 
 Null and empty texts have no words: their score is that of blanks. Repeated rows get the same score. A document
 that is labelled twice counts as toxic if any label says so. With labels of one kind or none the score is that rate
-(0 without labels) for every text.
+(0 without labels) for every text. An empty table gives no rows; other columns are not read; very long texts count
+whole; words of equally many documents get their rows in the order of their buckets.
 """
 
 from __future__ import annotations
