@@ -113,7 +113,7 @@ def _(spark, sf_dir):
 
 
 _same("j12_carry_forward", "SELECT coalesce(n.bill, o.bill) AS bill, coalesce(n.status, o.status) AS status, n.bill IS NULL AS carried FROM (SELECT bill, status FROM bills WHERE bill_year <= 1998) o FULL JOIN (SELECT bill, kind AS status FROM bills WHERE bill_year >= 1998) n ON n.bill = o.bill")
-_same("j13_asof_latest_start", "SELECT c.id, c.line, max(m.s) AS last_start FROM committee_memberships c JOIN memberships m ON m.member = c.member AND m.s <= c.s GROUP BY c.id, c.line")
+_same("j13_asof_latest_start", "SELECT c.id, c.line, c.s, max(m.s) AS last_start FROM committee_memberships c JOIN memberships m ON m.member = c.member AND m.s <= c.s GROUP BY c.id, c.line, c.s")
 _same("j14_process_path", "SELECT b.bill, p.sponsor, s_name AS name, b.status FROM bills b JOIN participations p ON p.bill = b.bill JOIN supplier ON s_suppkey = p.sponsor WHERE p.is_primary AND b.bill_year = 2000")
 
 # --- aggregations -----------------------------------------------------------------------------------------------
@@ -361,7 +361,7 @@ _same("q14_status_history", "SELECT b.bill, b.status, a.stage_no, a.activity_dat
 _same("q16_sponsored", "SELECT p.sponsor, count(DISTINCT p.bill) AS n FROM participations p JOIN bills b ON b.bill = p.bill WHERE b.bill_year = 1998 GROUP BY p.sponsor")
 _same("q19_parties_in_term", "SELECT DISTINCT party FROM memberships WHERE term_no = 4")
 _same("q22_party_history", "SELECT member, party, min(ps) AS first_start, count(*) AS episodes FROM memberships GROUP BY member, party")
-_same("q31_government_party", f"SELECT DISTINCT h.member, h.office, m.party FROM office_holdings h JOIN memberships m ON m.member = h.member JOIN house_terms t ON t.term_no = m.term_no WHERE h.cabinet AND h.s <= {AS_OF} AND (h.e IS NULL OR {AS_OF} <= h.e) AND m.s <= {AS_OF} AND (m.e IS NULL OR {AS_OF} <= m.e) AND m.ps <= {AS_OF} AND (m.pe IS NULL OR {AS_OF} <= m.pe)")
+_same("q31_government_party", f"SELECT DISTINCT h.member, h.office, m.party FROM office_holdings h JOIN memberships m ON m.member = h.member JOIN house_terms t ON t.term_no = m.term_no AND t.s <= {AS_OF} AND (t.e IS NULL OR {AS_OF} <= t.e) WHERE h.cabinet AND h.s <= {AS_OF} AND (h.e IS NULL OR {AS_OF} <= h.e) AND m.s <= {AS_OF} AND (m.e IS NULL OR {AS_OF} <= m.e) AND m.ps <= {AS_OF} AND (m.pe IS NULL OR {AS_OF} <= m.pe)")
 _same("q32_current_roster", f"SELECT committee, member, s FROM committee_memberships WHERE s <= {AS_OF} AND (e IS NULL OR {AS_OF} <= e)")
 _same("q33_office_constituency", f"SELECT h.office, h.member, m.constituency FROM office_holdings h JOIN memberships m ON m.member = h.member WHERE h.s <= {AS_OF} AND (h.e IS NULL OR {AS_OF} <= h.e) AND m.s <= {AS_OF} AND (m.e IS NULL OR {AS_OF} <= m.e)")
 
