@@ -436,6 +436,51 @@ def test_rules_base_counts(spark, rows):
         assert r["base_failed"] == (len(w) < 10 or 100 * len(rep) > 20 * len(w))
 
 
+def test_distances_by_brute_force(spark):
+    """Histograms, references, distances and verdicts of a few documents, character by character."""
+    r = np.random.Generator(np.random.PCG64(21))
+    q = quality_rules
+    docs = []
+    for i in range(40):
+        lang = [*q.COMMON, "xx", None][i % 6]
+        common = q.COMMON.get(lang, ["zzz"])
+        words = [str(r.choice(common)) if r.random() < 0.5 else "".join(r.choice(list("abcdefghijÀéß"), 5)) for _ in range(int(r.integers(5, 120)))]
+        text = " ".join(words) + ("|#{}~ 12, É." * int(r.integers(0, 60)))
+        docs.append((i, text, lang, "s"))
+    docs += [(90, None, "en", "s"), (91, "", "de", "s")]
+    kinds = lambda c: 3 if c in " \t\n\v\f\r" else 7 if ord(c) > 127 else 0 if c.islower() else 1 if c.isupper() else 2 if c.isdigit() else 4 if c in ".,;:!?'\"-()" else 5 if c in q.SYMBOLS else 6
+
+    def histograms(text, lang):
+        chars = np.bincount([kinds(c) for c in text or ""], minlength=8).astype(float)
+        words = np.zeros(q.N_WORDS)
+        for w in re.findall(r"[A-Za-z0-9\u0080-\U0010ffff]+", text or ""):
+            w = "".join(c.lower() if ord(c) < 128 else c for c in w)
+            if lang in q.COMMON:
+                words[q.COMMON[lang].index(w) if w in q.COMMON[lang] else -1] += 1
+        return chars, words
+
+    def js(p, m):
+        p = p / p.sum()
+        mid = (p + m) / 2
+        kl = lambda a: sum(x * math.log2(x / y) for x, y in zip(a, mid) if x > 0)
+        return math.sqrt(max(0.0, (kl(p) + kl(m)) / 2))
+
+    hist = {i: histograms(t, lang) for i, t, lang, _ in docs}
+    mean = lambda k, least, langs: np.mean([h[k] / h[k].sum() for i, _, lang, _ in docs if lang in langs and (h := hist[i])[k].sum() >= least], axis=0)
+    every = {*q.COMMON, "xx", None}
+    got = {x["doc_id"]: x for x in q.assess(table(spark, docs)).collect()}
+    for i, t, lang, _ in docs:
+        chars, words = hist[i]
+        own = {lang} if lang in q.COMMON else every
+        dc = js(chars, mean(0, 200, own)) if chars.sum() else 0.0
+        dw = js(words, mean(1, 50, own)) if lang in q.COMMON and words.sum() else 0.0
+        assert abs(got[i]["class_distance"] - dc) < 1e-6 and abs(got[i]["word_distance"] - dw) < 1e-6, i
+        # fewer documents than make a fence: the fixed distances hold
+        bad = chars.sum() >= 200 and dc > 0.26 or words.sum() >= 50 and dw > 0.5
+        assert got[i]["kept"] == (not got[i]["base_failed"] and not bad)
+    assert len({x["kept"] for x in got.values()}) == 2
+
+
 def test_rules_reject_planted_junk(spark):
     r = np.random.Generator(np.random.PCG64(6))
     listed = quality_rules.COMMON["en"]
