@@ -33,7 +33,7 @@ from .common import components, cut, release, ship
 
 K, BANDS, ROWS = 128, 40, 6
 #: Members of a bucket that are settled pair by pair; else members, and unit cells, of a block.
-SMALL, BLOCK, BLOCK_CELLS = 16, 256, 500_000
+SMALL, BLOCK, BLOCK_CELLS = 16, 1024, 1_000_000
 #: Which coordinates make up each band: a fixed seeded choice without repeats.
 _DESIGN = np.stack([np.random.Generator(np.random.PCG64(100 + b)).permutation(K)[:ROWS] for b in range(BANDS)])
 
@@ -110,7 +110,8 @@ def signatures(cell: np.ndarray, row: np.ndarray, n: int, part: np.ndarray | Non
 
 
 def sketch(docs: DataFrame, width: int = 5) -> DataFrame:
-    """Rows (id, n, whole, bands) from columns id, text; n: shingles, whole: hash of the words, bands: bucket keys."""
+    """Rows (id, n, whole, w, bands) from columns id, text; n: shingles, whole: two hashes of the words, w: the first
+    of them, which tells the texts of one id apart, bands: bucket keys."""
     def work(batches):
         for b in batches:
             for i, j, data, off in bt.slices(b.column(1)):
@@ -124,29 +125,29 @@ def sketch(docs: DataFrame, width: int = 5) -> DataFrame:
                     bands[:, band] = x
                 n = np.bincount(row, minlength=j - i)
                 keys = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(np.where(n > 0, BANDS, 0))]).astype(np.int32)), pa.array(bands[n > 0].reshape(-1).view(np.int64)))
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), pa.array(n), _bytes16(whole), keys], names=["id", "n", "whole", "bands"])
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), pa.array(n), _bytes16(whole), pa.array(whole[:, 0].copy().view(np.int64)), keys], names=["id", "n", "whole", "w", "bands"])
 
     kind = dict(docs.dtypes)["id"]
-    return docs.mapInArrow(work, f"id {kind}, n bigint, whole binary, bands array<bigint>")
+    return docs.mapInArrow(work, f"id {kind}, n bigint, whole binary, w bigint, bands array<bigint>")
 
 
 def _cells(texts: DataFrame, width: int) -> DataFrame:
-    """Rows (id, whole, cells), the unit cells of each text, from columns id, text."""
+    """Rows (id, w, cells), the unit cells of each text, from columns id, text."""
     def work(batches):
         for b in batches:
             for i, j, data, off in bt.slices(b.column(1)):
                 cell, row, whole = shingle_cells(data, off, width)
                 order = np.argsort(row, kind="stable")
                 at = np.searchsorted(row[order], np.arange(j - i + 1)).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), _bytes16(whole), pa.ListArray.from_arrays(pa.array(at), pa.array(cell[order].view(np.int64)))], names=["id", "whole", "cells"])
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), pa.array(whole[:, 0].copy().view(np.int64)), pa.ListArray.from_arrays(pa.array(at), pa.array(cell[order].view(np.int64)))], names=["id", "w", "cells"])
 
-    return texts.select("id", "text").mapInArrow(work, f"id {dict(texts.dtypes)['id']}, whole binary, cells array<bigint>")
+    return texts.select("id", "text").mapInArrow(work, f"id {dict(texts.dtypes)['id']}, w bigint, cells array<bigint>")
 
 
 def _similarities(pairs: DataFrame, cells: DataFrame) -> DataFrame:
-    """Rows (a, b, sim) of pairs (a, a_whole, b, b_whole), with the exact weighted Jaccard similarity of their unit cells."""
-    side = lambda x: cells.select(F.col("id").alias(x), F.col("whole").alias(f"{x}_whole"), F.col("cells").alias(f"{x}_cells"))
-    both = pairs.join(side("b"), ["b", "b_whole"]).join(side("a"), ["a", "a_whole"])
+    """Rows (a, b, sim) of pairs (a, a_w, b, b_w), with the exact weighted Jaccard similarity of their unit cells."""
+    side = lambda x: cells.select(F.col("id").alias(x), F.col("w").alias(f"{x}_w"), F.col("cells").alias(f"{x}_cells"))
+    both = pairs.join(side("b"), ["b", "b_w"]).join(side("a"), ["a", "a_w"])
     common = F.size(F.array_intersect("a_cells", "b_cells"))
     return both.select("a", "b", (common / (F.size("a_cells") + F.size("b_cells") - common)).alias("sim"))
 
@@ -175,7 +176,8 @@ def _block_links(parts: DataFrame, threshold: float) -> DataFrame:
         size = [z["cells"].map(len).to_numpy(np.float64) for z in (x, y)]
         sim = inter / (size[0][:, None] + size[1][None, :] - inter)
         i, j = np.nonzero((sim >= threshold) & (x["c"].to_numpy()[:, None] != y["c"].to_numpy()[None, :]))
-        return pd.DataFrame({"a": x["id"].to_numpy()[i], "b": y["id"].to_numpy()[j]})
+        # two components need one link
+        return pd.DataFrame({"a": x["id"].to_numpy()[i], "b": y["id"].to_numpy()[j], "p": x["c"].to_numpy()[i], "q": y["c"].to_numpy()[j]}).drop_duplicates(["p", "q"])[["a", "b"]]
 
     kind = dict(parts.dtypes)["id"]
     return parts.groupBy("key", "bx", "by").applyInPandas(compare, f"a {kind}, b {kind}")
@@ -188,21 +190,21 @@ def _open_links(buckets: DataFrame, comp: DataFrame, cells: DataFrame, threshold
     per = nodes.groupBy("key", "c").agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("cells"))
     per = per.groupBy("key").agg(F.max(F.struct("k", "c", "cells")).alias("top"), F.sum("k").alias("k"), F.sum("cells").alias("all_cells"))
     per = per.where("k > 2 AND k > top.k").select("key", "k", "all_cells", F.col("top.c").alias("top_c"), (F.col("k") - F.col("top.k")).alias("minor"), (F.col("all_cells") - F.col("top.cells")).alias("minor_cells"))
-    rest = cut(nodes.where("id <> pivot").join(per, "key").select("key", "id", "whole", "n", "c", "k", "all_cells", "minor", "minor_cells", (F.col("c") != F.col("top_c")).alias("is_minor")))
+    rest = cut(nodes.where("id <> pivot").join(per, "key").select("key", "id", "w", "n", "c", "k", "all_cells", "minor", "minor_cells", (F.col("c") != F.col("top_c")).alias("is_minor")))
     few = rest.where(F.col("k") <= SMALL)
     x, y = few.where("is_minor").alias("x"), few.alias("y")
     # no similarity is above the ratio of sizes
     near = F.least("x.n", "y.n") >= threshold * F.greatest("x.n", "y.n")
     pairs = x.join(y, F.col("x.key") == F.col("y.key")).where((F.col("x.c") != F.col("y.c")) & (~F.col("y.is_minor") | (F.col("x.id") > F.col("y.id"))) & near)
-    pairs = pairs.select(F.col("x.id").alias("a"), F.col("x.whole").alias("a_whole"), F.col("y.id").alias("b"), F.col("y.whole").alias("b_whole")).distinct()
+    pairs = pairs.select(F.col("x.id").alias("a"), F.col("x.w").alias("a_w"), F.col("y.id").alias("b"), F.col("y.w").alias("b_w")).distinct()
     found = _similarities(pairs, cells).where(F.col("sim") >= threshold).select("a", "b")
     blocks = lambda k, n: F.greatest(F.ceil(F.col(k) / BLOCK), F.ceil(F.col(n) / BLOCK_CELLS))
     many = rest.where(F.col("k") > SMALL).withColumn("nx", blocks("minor", "minor_cells")).withColumn("ny", blocks("k", "all_cells"))
-    own = lambda n: F.pmod(F.xxhash64("id", "whole"), F.col(n))
+    own = lambda n: F.pmod(F.xxhash64("id", "w"), F.col(n))
     every = lambda n: F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(n) - 1))
-    sides = many.where("is_minor").select("key", "id", "whole", "c", own("nx").alias("bx"), every("ny").alias("by"), F.lit(False).alias("side"))
-    sides = sides.unionByName(many.select("key", "id", "whole", "c", every("nx").alias("bx"), own("ny").alias("by"), F.lit(True).alias("side")))
-    parts = sides.join(cells, ["id", "whole"]).select("key", "bx", "by", "side", "id", "c", "cells")
+    sides = many.where("is_minor").select("key", "id", "w", "c", own("nx").alias("bx"), every("ny").alias("by"), F.lit(False).alias("side"))
+    sides = sides.unionByName(many.select("key", "id", "w", "c", every("nx").alias("bx"), own("ny").alias("by"), F.lit(True).alias("side")))
+    parts = sides.join(cells, ["id", "w"]).select("key", "bx", "by", "side", "id", "c", "cells")
     return found.union(_block_links(parts, threshold))
 
 
@@ -219,21 +221,22 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     same = cut(base.where("n > 0 AND id IS NOT NULL").groupBy("whole", "n").agg(F.min("id").alias("rep"), F.max("id").alias("top")).where("rep < top").drop("top"))
     ids = base.select("id", "whole", "n").join(same, ["whole", "n"], "left").select("id", "n", F.coalesce("rep", "id").alias("rep"))
     reps = base.where("n > 0 AND id IS NOT NULL").join(same, ["whole", "n"], "left").where("rep IS NULL OR id = rep")
-    rows = reps.select("id", "whole", "n", F.explode("bands").alias("key"))
+    rows = reps.select("id", "w", "n", F.explode("bands").alias("key"))
     full = cut(rows.groupBy("key").agg(F.min("id").alias("pivot"), F.max("id").alias("top")).where("pivot < top").drop("top"))
     buckets = cut(rows.join(full, "key").distinct())
     release(spark)
     wanted = buckets.select("id").distinct().hint("shuffle_hash")
-    cells = cut(_cells(d.join(wanted, "id", "left_semi"), width).dropDuplicates(["id", "whole"]))
+    cells = cut(_cells(d.join(wanted, "id", "left_semi"), width).dropDuplicates(["id", "w"]))
     release(spark)
-    pivots = buckets.where("id = pivot").select("key", F.col("whole").alias("b_whole"), F.col("n").alias("b_n"))
+    pivots = buckets.where("id = pivot").select("key", F.col("w").alias("b_w"), F.col("n").alias("b_n"))
     near = F.least("n", "b_n") >= threshold * F.greatest("n", "b_n")  # no similarity is above the ratio of sizes
-    pairs = buckets.where("id <> pivot").join(pivots, "key").where(near).select(F.col("id").alias("a"), F.col("whole").alias("a_whole"), F.col("pivot").alias("b"), "b_whole").distinct()
+    pairs = buckets.where("id <> pivot").join(pivots, "key").where(near).select(F.col("id").alias("a"), F.col("w").alias("a_w"), F.col("pivot").alias("b"), "b_w").distinct()
     links = cut(_similarities(pairs, cells).where(F.col("sim") >= threshold).select("a", "b"))
     # an id that has several texts links the classes of all of them
     several = ids.where("id IS NOT NULL").groupBy("id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).where("a < b").select("id")
     links = links.union(ids.join(several.hint("shuffle_hash"), "id", "left_semi").where("id <> rep").select(F.col("id").alias("a"), F.col("rep").alias("b")))
     comp = cut(components(links))
+    release(spark)
     more = cut(_open_links(buckets, comp, cells, threshold))
     if more.take(1):
         comp = cut(components(links.union(more)))

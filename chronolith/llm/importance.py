@@ -104,8 +104,8 @@ def log_ratios(target: np.ndarray, raw: np.ndarray) -> np.ndarray:
     return np.concatenate(out).astype(np.float32)
 
 
-def weigh(docs: DataFrame, ratios: np.ndarray, doc_id: str, text: str, keep: list[str]) -> DataFrame:
-    """Columns ``keep`` and log_weight, row by row, without a shuffle."""
+def weigh(docs: DataFrame, ratios: np.ndarray, text: str, keep: list[str]) -> DataFrame:
+    """Columns c0, c1, ... (those of ``keep``) and log_weight, row by row, without a shuffle."""
     schema = docs.select(*keep).schema
     names = [f"c{i}" for i in range(len(keep))]
     shared = docs.sparkSession.sparkContext.broadcast(ratios)  # of fixed size
@@ -120,7 +120,7 @@ def weigh(docs: DataFrame, ratios: np.ndarray, doc_id: str, text: str, keep: lis
 
     kinds = ", ".join(f"{n} {f.dataType.simpleString()}" for n, f in zip(names, schema))
     out = docs.select(F.col(text).alias("text"), *(F.col(c).alias(n) for c, n in zip(keep, names)))
-    return out.mapInArrow(score, f"{kinds}, log_weight double").select(*(F.col(n).alias(c) for c, n in zip(keep, names)), "log_weight")
+    return out.mapInArrow(score, f"{kinds}, log_weight double")
 
 
 def gumbel_key(doc_id: str, seed: int):
@@ -149,9 +149,10 @@ def kth_largest(keys: DataFrame, k: int, bins: int = 4096, small: int = 10_000)
 
 def classify(
     docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "quality",
-    keep: list[str] | None = None, max_labelled: int = 20_000, reject_cost: float = 8.0, seed: int = 7,
+    keep: list[str] | None = None, max_labelled: int = 20_000, reject_cost: float = 8.0, seed: int = 7, only_kept: bool = False,
 ) -> DataFrame:
-    """Columns ``keep`` (the id by default), log_weight, key and kept, one row for each input row.
+    """Columns ``keep`` (the id by default), log_weight, key and kept, one row for each input row; with ``only_kept``
+    just the columns ``keep`` of the rows kept, whatever their names.
 
     ``labels``: id and 1 (target) or 0; of these the ``max_labelled`` rows with the smallest hashed ids are
     used. ``reject_cost``: how many bad documents kept weigh as much as one good document rejected.
@@ -159,13 +160,15 @@ def classify(
     spark = docs.sparkSession
     ship(spark)
     keep = keep or [doc_id]
+    if not only_kept and {"log_weight", "key", "kept"} & set(keep):
+        raise ValueError("columns log_weight, key and kept are the operator's own")
     some = labels.where(F.col(label).isin(0, 1) & F.col(doc_id).isNotNull()).select(F.col(doc_id).alias("id"), F.col(label).cast("int").alias("y")).groupBy("id").agg(F.max("y").alias("y"))
     some = spark.createDataFrame([tuple(r) for r in some.orderBy(F.xxhash64("id"), "id").limit(max_labelled).collect()], some.schema)
     texts = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
     good = texts.join(F.broadcast(some.where("y = 1")), "id", "left_semi")  # at most max_labelled ids
     ratios = log_ratios(_counts(good), _counts(texts))
-    scored = cut(weigh(docs, ratios, doc_id, text, [doc_id]))
-    fit = scored.join(F.broadcast(some), scored[doc_id] == some["id"]).select("log_weight", "y").toPandas()
+    scored = cut(weigh(docs, ratios, text, [doc_id]))
+    fit = scored.join(F.broadcast(some), scored["c0"] == some["id"]).select("log_weight", "y").toPandas()
     threshold = -np.inf
     if fit["y"].nunique() == 2:
         w, y = fit["log_weight"].to_numpy(), fit["y"].to_numpy()
@@ -174,8 +177,13 @@ def classify(
         cost = np.concatenate([[0], np.cumsum(y * reject_cost)]) + np.concatenate([np.cumsum((1 - y)[::-1])[::-1], [0]])
         i = int(np.flatnonzero(cost == cost.min()).mean())
         threshold = -np.inf if i == 0 else np.inf if i == len(w) else (w[i - 1] + w[i]) / 2
-    keys = scored.select(gumbel_key(doc_id, seed).alias("key"))
+    keys = scored.select(gumbel_key("c0", seed).alias("key"))
     k = scored.where(F.col("log_weight") >= float(threshold)).count()
     bar = kth_largest(keys, k) if k else np.inf
-    out = weigh(docs, ratios, doc_id, text, keep) if keep != [doc_id] else scored
-    return out.withColumn("key", gumbel_key(doc_id, seed)).withColumn("kept", F.col("key") >= F.lit(float(bar)))
+    carried = keep if doc_id in keep else [*keep, doc_id]
+    out = scored if carried == [doc_id] else weigh(docs, ratios, text, carried)
+    key = gumbel_key(f"c{carried.index(doc_id)}", seed)
+    own = [F.col(f"c{i}").alias(c) for i, c in enumerate(keep)]
+    if only_kept:
+        return out.where(key >= F.lit(float(bar))).select(*own)
+    return out.select(*own, "log_weight", key.alias("key"), (key >= F.lit(float(bar))).alias("kept"))

@@ -115,3 +115,39 @@ def test_encoding_decodes_to_the_mix(results):
     made, _ = results
     back = pieces.decode(made[5].withColumnRenamed("doc_id", "d"), "ids_1")
     assert Counter((r["d"], r["text"]) for r in back.collect()) == Counter((r[0], r[1]) for r in rows_of(made[4]))
+
+
+def test_stages_on_awkward_and_empty_tables(spark, tmp_path):
+    """Repeated rows of one id, several texts under one id, null ids, and columns named like the operators' own."""
+    r = np.random.Generator(np.random.PCG64(16))
+    words = ["".join(r.choice(list("abcdefgh"), 5)) for _ in range(400)]
+    text = lambda k: " ".join(r.choice(words, k))
+    rows = [(i, text(60)) for i in range(30)]
+    rows += [(50, rows[1][1]), (60, a := text(50)), (60, a), (61, text(40)), (61, text(45)), (None, text(30)), (None, text(35)), (None, None), (70, None), (71, ""), (71, "")]
+    names = "doc_id bigint, text string, lang string, source string, n_chars bigint, id string, key int, size int, taken int, rep string, c0 int, h string, starts int, kept_text string, n_words int, kept boolean"
+    docs = spark.createDataFrame([(i, t, "en", ["a", "b", None][n % 3], len(t or ""), "x", 1, 2, 3, "y", 4, "z", 5, "k", 6, None) for n, (i, t) in enumerate(rows)], names)
+    folder = str(tmp_path)
+    spark.createDataFrame([], "doc_id bigint, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    made = [cut(docs)]
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        made.append(cut(stage(spark, made[-1], folder)))
+        assert made[-1].dtypes == docs.dtypes and made[-1].where("id <> 'x' OR starts <> 5").count() == 0
+    ids = Counter(x["doc_id"] for x in made[2].collect())
+    assert made[1].count() == len(rows)  # without labels nothing is rejected
+    assert ids[None] == 3 and {ids[i] for i in (60, 61, 70, 71)} == {1} and 50 not in ids and len(ids) == 35
+    assert made[3].count() == made[2].count()
+    taken = Counter()
+    for x in made[4].collect():
+        taken[x["source"]] += len(x["text"].split())
+    sizes = Counter()
+    for x in made[3].collect():
+        sizes[x["source"]] += len((x["text"] or "").split())
+    from chronolith.llm import mixing
+
+    order = sorted(sizes, key=lambda s: (s is None, s or ""))
+    want = mixing.targets([sizes[s] for s in order], [3.0, 1.0, 2.0], 1.5, 2.0)
+    assert all(abs(taken[s] - t) <= 1 for s, t in zip(order, want))
+    out = corpus_pipeline.encode(spark, made[4], folder)
+    assert out.count() == made[4].count()
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, cut(docs.limit(0)), folder).count() == 0
