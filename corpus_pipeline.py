@@ -19,19 +19,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from chronolith.llm import automata, dart, importance, mixing, pieces
-from chronolith.llm.common import cut
+from chronolith.llm.common import cut, release
 from chronolith.llm.queries import source_weights
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """What importance resampling keeps; everything if the labels don't tell good from bad."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    return importance.classify(docs, labels, keep=docs.columns).where("kept").select(*docs.columns)
+    return importance.classify(docs, labels, keep=docs.columns, only_kept=True)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates, and one row of each id that isn't null."""
     found = cut(dart.near_duplicates(docs))
+    release(spark)
     dropped = found.where("NOT kept").select("doc_id").distinct()
     rest = docs.join(dropped.hint("shuffle_hash"), "doc_id", "left_anti").select(*docs.columns)
     again = cut(found.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id"))
@@ -44,9 +45,13 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the words of passages that a smaller id has too; a text left whole is unchanged."""
-    rest = automata.remove_repeats(docs, keep=[c for c in docs.columns if c not in ("text", "n_chars")])
-    out = rest.withColumn("text", F.col("kept_text")).withColumn("n_chars", F.length("kept_text").cast("bigint"))
-    return out.select(*docs.columns)
+    # one column carries the others, so that no name of theirs meets one of the operator's
+    carried = F.struct(*(F.col(c).alias(f"x{i}") for i, c in enumerate(docs.columns) if c != "text")).alias("carried")
+    rest = automata.remove_repeats(docs.select("doc_id", "text", carried), keep=["carried"])
+    own = {c: F.col(f"carried.x{i}") for i, c in enumerate(docs.columns) if c != "text"} | {"text": F.col("kept_text")}
+    if "n_chars" in own:
+        own["n_chars"] = F.length("kept_text").cast(dict(docs.dtypes)["n_chars"])
+    return rest.select(*(own[c].alias(c) for c in docs.columns))
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
