@@ -41,12 +41,14 @@ def intersection(pairs: list[tuple[Column, Column]]) -> tuple[Column, Column]:
 def islands(df: DataFrame, key: list[str], s: str = "s", e: str = "e", gap_days: int = 1) -> DataFrame:
     """Rows (key, s, e, n): unions of intervals that overlap or follow one another within ``gap_days``.
 
-    One shuffle by key: a running maximum of ends, then a running count of the breaks.
+    One shuffle by key: a running maximum of ends, then a running latest start of an island. Both run over days, not
+    rows, so intervals of one start are never told apart: their order differs from one sort (or spill) to the next.
     """
-    order = Window.partitionBy(*key).orderBy(s, F.coalesce(F.col(e), forever()))
-    reach = F.max(F.coalesce(F.col(e), forever())).over(order.rowsBetween(Window.unboundedPreceding, -1))
-    marked = df.withColumn("__new", F.when(reach.isNull() | (F.datediff(F.col(s), reach) > gap_days), 1).otherwise(0))
-    grouped = marked.withColumn("__island", F.sum("__new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    order = Window.partitionBy(*key).orderBy("__day")
+    df = df.withColumn("__day", F.datediff(F.col(s), F.lit("1970-01-01").cast("date")))
+    reach = F.max(F.coalesce(F.col(e), forever())).over(order.rangeBetween(Window.unboundedPreceding, -1))
+    marked = df.withColumn("__new", F.when(reach.isNull() | (F.datediff(F.col(s), reach) > gap_days), F.col("__day")))
+    grouped = marked.withColumn("__island", F.max("__new").over(order.rangeBetween(Window.unboundedPreceding, Window.currentRow)))
     out = grouped.groupBy(*key, "__island").agg(F.min(s).alias("s"), F.max(F.coalesce(F.col(e), forever())).alias("e"), F.count(F.lit(1)).alias("n"))
     return out.select(*key, "s", F.when(F.col("e") != forever(), F.col("e")).alias("e"), "n")
 

@@ -37,6 +37,18 @@ def test_uncertain_and_islands(spark):
     assert [r[0] for r in bad.select(iv.certain(F.col("s"), F.col("e"))).collect()] == [False, False, True]
 
 
+def test_islands_whose_ties_are_sorted_otherwise(spark):
+    """Sorts that spill merge equal rows in any order: many intervals of one start and end are one island all the same."""
+    rows = [(1, D(m, 1), D(m, 3)) for m in range(1, 13) for _ in range(50)] + [(2, D(m, 1), D(m, 1 + i % 20)) for m in range(1, 13) for i in range(60)]
+    want = [(1, D(m, 1), D(m, 3), 50) for m in range(1, 13)] + [(2, D(m, 1), D(m, 20), 60) for m in range(1, 13)]
+    conf, name = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().conf(), "spark.shuffle.spill.numElementsForceSpillThreshold"
+    conf.set(name, "7")
+    try:
+        assert sorted(map(tuple, iv.islands(spark.createDataFrame(rows, "k int, s date, e date"), ["k"]).collect())) == want
+    finally:
+        conf.remove(name)
+
+
 def test_latest_refuses_ties_and_open_earlier(spark):
     rows = [(1, D(1, 1), D(1, 5)), (1, D(2, 1), None), (2, D(1, 1), None), (2, D(2, 1), None), (3, D(1, 1), D(1, 2)), (3, D(1, 1), D(1, 3))]
     df = spark.createDataFrame(rows, "k int, s date, e date")
