@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import unicodedata
 
 import pandas as pd
@@ -10,6 +11,7 @@ from pyspark.sql.types import StringType
 
 #: Words that a title's tokens leave out.
 TITLE_STOP = "the a an bill of for and".split()
+_WORD = re.compile(r"[^\W_]+")
 
 
 @F.pandas_udf(StringType())
@@ -18,6 +20,23 @@ def nfc_casefold(x: pd.Series) -> pd.Series:
     return x.map(lambda v: None if v is None else unicodedata.normalize("NFC", v).casefold())
 
 
+def lower_words(x: Column, nfc: bool = False) -> Column:
+    """Runs of letters and digits (Python's Unicode tables), each character in lower case: not folded, so that sharp s
+    and ss stay apart, as SQL's lower has them. ``nfc`` composes characters before."""
+
+    @F.pandas_udf(StringType())
+    def runs(texts: pd.Series) -> pd.Series:
+        def of(v):
+            v = unicodedata.normalize("NFC", v) if nfc else v
+            # a character at a time: str.lower() alone makes a last sigma another letter and two characters of a dotted I
+            return " ".join(_WORD.findall(v.replace("\u0130", "i").replace("\u03a3", "\u03c3").lower()))
+
+        return texts.map(lambda v: None if v is None else of(v))
+
+    run = runs(x)
+    return F.when(run == "", F.array().cast("array<string>")).otherwise(F.split(run, " "))
+
+
 def label(x: Column) -> Column:
     """White space collapsed, trimmed, lower case."""
     return F.lower(F.trim(F.regexp_replace(x, r"\s+", " ")))

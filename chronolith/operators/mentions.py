@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from chronolith.functions import text as tx
-from chronolith.operators.enrich import tokens
+from chronolith.operators.enrich import BROADCAST_LABELS, tokens
 
 #: Titles that allow a part of a name.
 TITLES = "deputy senator minister taoiseach tanaiste".split()
@@ -13,26 +15,36 @@ TITLES = "deputy senator minister taoiseach tanaiste".split()
 SET_WORDS = "members deputies senators tds people".split()
 
 
-def detect(texts: DataFrame, owners: DataFrame, key: str, text: str, owner: str, label: str) -> DataFrame:
+def folded_words(x: Column) -> Column:
+    """NFC, case folded, split at what is neither letter nor digit."""
+    return tokens(tx.nfc_casefold(x))
+
+
+def detect(
+    texts: DataFrame, owners: DataFrame, key: str, text: str, owner: str, label: str,
+    text_words: Callable[[Column], Column] = folded_words, label_words: Callable[[Column], Column] = folded_words,
+) -> DataFrame:
     """Rows (key, owner, label, at, words): labels whose words stand in the text, without those inside a longer match.
 
-    Texts become word runs of the labels' lengths, so the match is an equi-join; both sides are NFC, case folded
-    and split at what is neither letter nor digit. Null texts, null and blank labels match nothing. Owners with
-    equal labels all come out.
+    Texts become word runs of the labels' lengths, so the match is an equi-join of the words that ``text_words`` and
+    ``label_words`` make (array<string>). Null texts, null and blank labels match nothing. Owners with equal labels
+    all come out.
     """
-    named = owners.select(F.col(owner).alias("owner"), F.col(label).alias("label"), tokens(tx.nfc_casefold(F.col(label))).alias("w")).where("size(w) > 0")
+    named = owners.select(F.col(owner).alias("owner"), F.col(label).alias("label"), label_words(F.col(label)).alias("w")).where("size(w) > 0")
     named = named.select("owner", "label", F.array_join("w", " ").alias("run"), F.size("w").alias("words")).distinct()
-    sizes = sorted(r["words"] for r in named.select("words").distinct().collect())  # word counts of labels: as many as there are lengths
+    known = named.groupBy("words").agg(F.count(F.lit(1)).alias("n")).collect()  # a row for each length of a label
+    sizes, count = sorted(r["words"] for r in known), sum(r["n"] for r in known)
     if not sizes:
         return named.select(F.lit(None).cast(dict(texts.dtypes)[key]).alias("key"), "owner", "label", F.lit(0).alias("at"), "words").where("false").withColumnRenamed("key", key)
-    t = texts.where(F.col(text).isNotNull()).select(F.col(key).alias("key"), tokens(tx.nfc_casefold(F.col(text))).alias("t"))
+    t = texts.where(F.col(text).isNotNull()).select(F.col(key).alias("key"), text_words(F.col(text)).alias("t"))
 
     def runs(n: int) -> Column:
         at = F.sequence(F.lit(1), F.greatest(F.size("t") - n + 1, F.lit(1)))
         return F.when(F.size("t") >= n, F.transform(at, lambda i: F.struct(i.alias("at"), F.array_join(F.slice("t", i, n), " ").alias("run")))).otherwise(F.array().cast("array<struct<at:int,run:string>>"))
 
     rows = t.select("key", F.explode(F.concat(*(runs(n) for n in sizes))).alias("x")).select("key", "x.at", "x.run")
-    hits = rows.join(named, "run").select("key", "owner", "label", "at", "words")
+    # few labels go to the texts, so that no word run of a text is shuffled; many meet them by hash
+    hits = rows.join(F.broadcast(named) if count <= BROADCAST_LABELS else named, "run").select("key", "owner", "label", "at", "words")
     # a match lies inside a longer one if an earlier or equal start reaches at least as far with more words
     end = F.col("at") + F.col("words")
     before = Window.partitionBy("key").orderBy("at").rangeBetween(Window.unboundedPreceding, -1)

@@ -162,6 +162,23 @@ def test_mentions_longest_first(spark):
     assert mentions.detect(texts, owners.limit(0), "k", "t", "o", "l").count() == 0
 
 
+def test_mentions_keep_letters_apart_that_sql_does(spark, tmp_path):
+    """Sharp s and ss, a last sigma, a dotted I, a long s, a composed text and letters of late Unicode: as the query's SQL has them."""
+    import duckdb
+
+    from chronolith import catalog
+
+    labels = ["gro\u00dfe stra\u00dfe neun", "grosse strasse acht", "kos\u03c3 odos\u03c3 hier", "istanbul bei nacht", "lang\u017fam ist es", "caf\u00e9 am markt", "\u0870\u0871 a b", "x y"]
+    texts = [*labels, *(x.upper() for x in labels), "Grosse Strasse neun", "GRO\u1e9eE STRA\u1e9eE NEUN", "gro\u00dfe stra\u00dfe acht", "KOS\u03a3 ODOS\u03a3 hier", "\u0130stanbul bei nacht", "langsam ist es", "Cafe\u0301 am Markt", "a\u0870\u0871 a b", "", None]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(list(enumerate(labels)), "item_id bigint, text string").coalesce(1).write.parquet(f"{tmp_path}/benchmark.parquet")
+    with duckdb.connect() as c:
+        for t in ("documents", "benchmark"):
+            c.sql(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{tmp_path}/{t}.parquet/*.parquet')")
+        want = sorted(c.sql(catalog.ORACLE["e04_mentions"]).fetchall())
+    assert sorted(map(tuple, catalog.QUERIES["e04_mentions"](spark, str(tmp_path)).collect())) == want
+
+
 def test_names_sets_and_context(spark):
     people = spark.createDataFrame([(1, "Mary Ann Roe", True), (2, "John Roe", False), (3, "Ann Poe", True)], "o int, n string, ok boolean")
     said = spark.createDataFrame([(1, "mary ann roe"), (2, "Deputy Roe"), (3, "Roe"), (4, "Ann Mary Roe"), (5, "Deputy Ann"), (6, None)], "k int, s string")
