@@ -41,7 +41,8 @@ def op4_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_sampled_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pieces.encode(_table(spark, sf_dir, "documents"), ids=False)
+    out = pieces.encode(_table(spark, sf_dir, "documents"))
+    return out.withColumns({f"digest_{i}": F.when(F.col(f"ids_{i}").isNotNull(), F.xxhash64(f"ids_{i}")) for i in (1, 2)})
 
 
 def op6_recurrent_lm(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,7 +10,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from chronolith.llm import automata, dart, descent, importance, licences, mixing, pieces, quality_rules, recurrent, toxicity
+from chronolith.llm import automata, dart, descent, importance, licences, mixing, pieces, quality_rules, queries, recurrent, toxicity
 from chronolith.llm.common import components, cut
 
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint, id string, key int, h string, c int, n int, size int, v string, y int, rep int"
@@ -273,6 +273,19 @@ def test_encoding_round_trip(spark, rows):
     assert out.where("array_join(ids_1, ' ') = array_join(ids_2, ' ') AND size(ids_1) > 0").count() == 0
 
 
+def test_sampled_pieces_query_gives_whole_encodings(spark, rows, tmp_path):
+    """The query's own rows hold every id of both samples: each text comes back from them, and the digests are theirs."""
+    table(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    out = queries.op5_sampled_pieces(spark, str(tmp_path)).cache()
+    want = sorted((str(i), t or "") for i, t, _, _ in rows)
+    for i in (1, 2):
+        some = out.where(f"ids_{i} IS NOT NULL")
+        got = sorted((str(r["doc_id"]), r["text"]) for r in pieces.decode(some, f"ids_{i}").collect())
+        assert (got == want) if i == 1 else not Counter(got) - Counter(want)
+        assert some.where(f"size(ids_{i}) <> n_pieces_{i} OR digest_{i} <> xxhash64(ids_{i}) OR digest_{i} IS NULL").count() == 0
+        assert out.where(f"ids_{i} IS NULL AND digest_{i} IS NOT NULL").count() == 0
+
+
 def removals(docs):
     """What is left of each of (id, words): number of words, number removed, hash of the rest."""
     seen, want = {}, {}
